@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontaminate
 from .common import read
 
 
@@ -13,12 +14,30 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract_main_text
+
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokens import count_tokens
 
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import bpe_digests
 
@@ -31,5 +50,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_token_counts": op3_token_counts, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "op2_main_text": op2_main_text,
+    "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
+    "op5_decontaminate": op5_decontaminate,
+    "op8_bpe": op8_bpe,
+    "op9_secrets": op9_secrets,
+}
+SQL: dict[str, str] = {"op5_decontaminate": decontaminate.SQL}
