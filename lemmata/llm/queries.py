@@ -50,6 +50,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op2_main_text": op2_main_text,
     "op3_token_counts": op3_token_counts,
@@ -57,5 +63,6 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 SQL: dict[str, str] = {"op5_decontaminate": decontaminate.SQL}
