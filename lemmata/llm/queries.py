@@ -38,6 +38,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import repeat_report
+
+    return repeat_report(read(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import bpe_digests
 
@@ -61,6 +67,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_decontaminate": op5_decontaminate,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
     "op10_jaccard_join": op10_jaccard_join,
