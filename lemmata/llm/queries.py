@@ -38,6 +38,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .huffman import token_files
+
+    return token_files(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import repeat_report
 
@@ -67,6 +73,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_decontaminate": op5_decontaminate,
+    "op6_token_files": op6_token_files,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
