@@ -294,3 +294,21 @@ def bpe_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         }
 
     return map_texts(df, run, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", (id_col,), text_col)
+
+
+def token_rows(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, ids array<int>, n_tokens, and SHA-256 of the ids and of what they decode to."""
+
+    def run(texts):
+        made = coder(path).digests(texts)
+        flat = np.fromstring(b" ".join([a for a, _ in made if a]).decode(), np.int32, sep=" ") if any(a for a, _ in made) else np.zeros(0, np.int32)
+        n = np.array([a.count(b" ") + 1 if a else 0 for a, _ in made], np.int64)
+        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        return {
+            "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+            "n_tokens": pa.array(n),
+            "ids_sha256": [hashlib.sha256(a).hexdigest() for a, _ in made],
+            "decoded_sha256": [hashlib.sha256(b).hexdigest() for _, b in made],
+        }
+
+    return map_texts(df, run, "ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string", (id_col,), text_col)

@@ -14,6 +14,30 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of recordings rendered from every row of embeddings, searched for by every hundredth of them."""
+    from pyspark.sql import functions as F
+
+    from .audio import align, fingerprints, with_media
+    from .common import materialize
+
+    codes = materialize(fingerprints(with_media(read(spark, sf_dir, "embeddings")), "vec_id", "wav"), "fingerprints")
+    found = align(codes.where("id % 100 = 0"), codes)
+    links = found.groupBy("id").agg(
+        F.count("*").alias("n_matches"),
+        F.min(F.struct("bit_error", "query", "offset")).alias("best"),
+    )
+    return codes.join(links, "id", "left").select(
+        F.col("id").alias("vec_id"),
+        F.size("codes").cast("long").alias("n_codes"),
+        F.sha2(F.array_join(F.col("codes").cast("array<string>"), ",").cast("binary"), 256).alias("codes_sha256"),
+        F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"),
+        F.col("best.query").alias("best_query"),
+        F.col("best.offset").alias("best_offset"),
+        F.col("best.bit_error").alias("best_bit_error"),
+    )
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html import extract_main_text
 
@@ -69,6 +93,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_audio_fingerprints": op1_audio_fingerprints,
     "op2_main_text": op2_main_text,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
