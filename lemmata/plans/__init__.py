@@ -1 +1,4 @@
-"""Part of the lemmata engine."""
+"""All queries of the engine, by name."""
+
+from . import labels_and_latex  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
