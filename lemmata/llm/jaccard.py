@@ -12,7 +12,7 @@ similar sets it is linked with, and meets only nodes of other components. Pairs
 pass an exact parity-bitmap bound before whole sets are compared.
 
 Element order: elements known as frequent go last. Frequencies come from counts
-over all documents (each task drops what it saw once or twice); the order decides
+over all documents (each task drops what it saw once); the order decides
 work only, never results.
 
 Defined results: null and empty texts have an empty set and link with nothing;
@@ -34,12 +34,14 @@ from .components import components
 #: A list of at most so many nodes gives all its pairs at once.
 SHORT_LIST = 8
 #: Entries that one bucket of lists should hold.
-BUCKET_ENTRIES = 1_500_000
-#: The broadcast table of frequent elements has at most so many entries.
-FREQUENT = 200_000
+BUCKET_ENTRIES = 800_000
+#: Cells of the broadcast table of frequencies, a byte each at every size of the input.
+CELLS = 1 << 22
+#: Characters of texts that are worked on at once.
+SLICE = 2_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-_words = Memo(lambda chunks: [xxhash.xxh3_64_intdigest(c) for c in chunks])
+_words = Memo(lambda chunks: [xxhash.xxh3_64_intdigest(c) for c in chunks], 250_000)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -102,7 +104,7 @@ def may_link(a: bytes, n_a: int, b: bytes, n_b: int, t: tuple[int, int]) -> bool
 
 
 def profiles(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """Mixed rows: (id, n, sig, sketch) of each document, and (h, c): elements that a task saw c > 2 times."""
+    """Mixed rows: (id, n, sig, sketch) of each document, and (h, c): elements that a task saw c > 1 times."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
 
@@ -115,7 +117,7 @@ def profiles(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
 
         def frequent():
             h, c = np.unique(np.concatenate(kept), return_counts=True) if kept else (np.zeros(0, np.uint64), np.zeros(0))
-            h, c = h[c > 2], c[c > 2]
+            h, c = h[c > 1], c[c > 1]
             none = pa.nulls(len(h))
             return pa.RecordBatch.from_arrays(
                 [none.cast(id_type), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))],
@@ -126,7 +128,7 @@ def profiles(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             id_type = batch.schema.field(0).type
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 sets = shingle_sets(texts[a:b], n)
                 sigs = [signature(s) for s in sets]
                 for s, g in zip(sets, sigs):
@@ -139,7 +141,7 @@ def profiles(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
                     [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int32()), pa.array(sigs, pa.int64()), pa.array([bitmap(s) if len(s) else b"" for s in sets], pa.binary()), none.cast(pa.int64()), none.cast(pa.int64())],
                     names=["id", "n", "sig", "sketch", "h", "c"],
                 )
-                if held > 6_000_000:
+                if held > 3_000_000:
                     yield frequent()
                     kept.clear()
                     held = 0
@@ -149,49 +151,55 @@ def profiles(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     return base.mapInArrow(run, f"id {kind}, n int, sig bigint, sketch binary, h bigint, c bigint")
 
 
-def frequent_elements(rows: DataFrame, limit: int = FREQUENT) -> np.ndarray:
-    """The most frequent elements, at most ``limit``, least frequent first."""
-    top = rows.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(limit).toArrow()
-    order = np.lexsort((top["h"].to_numpy(), top["c"].to_numpy()))
-    return top["h"].to_numpy()[order].view(np.uint64)
+def frequencies(rows: DataFrame) -> np.ndarray:
+    """Logarithm of the largest count among the frequent elements of each of CELLS cells, in bytes."""
+    counts = rows.where("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
+    cells = counts.groupBy(F.pmod("h", F.lit(CELLS)).cast("int").alias("cell")).agg(F.max("c").alias("c"))
+    found = cells.select("cell", F.floor(4 * F.log2("c")).cast("tinyint").alias("level")).toArrow()  # CELLS rows at most
+    table = np.zeros(CELLS, np.uint8)
+    table[found["cell"].to_numpy()] = found["level"].to_numpy()
+    return table
 
 
-def prefix(s: np.ndarray, hot: np.ndarray, rank: np.ndarray, t: tuple[int, int]) -> np.ndarray:
-    """The first elements of ``s`` in the common order; every set that links with it shares one of them with its own prefix."""
+def levels(s: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return table[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+
+
+def prefix(s: np.ndarray, level: np.ndarray, t: tuple[int, int]) -> np.ndarray:
+    """The first elements of ``s`` in the common order, rare before frequent; sets that link share one of both prefixes."""
     num, den = t
     size = len(s) - -(-num * len(s) // den) + 1
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-        known = hot[at] == s
-        if known.any():
-            s = np.concatenate([s[~known], s[known][np.argsort(rank[at[known]], kind="stable")]])
-    return s[:size]
+    return s[np.argsort(level, kind="stable")][:size] if level.any() else s[:size]
 
 
 ENTRY = np.dtype([("h", "<u4"), ("node", "<u2"), ("pos", "<u2")])
-NODE = np.dtype([("sig", "<i8"), ("n", "<u4")])
+NODE = np.dtype([("sig", "<i8"), ("n", "<u4"), ("core", "u1")])
 
 
-def list_entries(docs: DataFrame, frequent: np.ndarray, n: int, t: tuple[int, int], n_buckets: int, text_col: str) -> DataFrame:
-    """Packed list entries: (bucket, nodes, entries), a few rows for each slice of texts."""
-    order = np.argsort(frequent)
-    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
+def list_entries(docs: DataFrame, table: np.ndarray, n: int, t: tuple[int, int], n_buckets: int, text_col: str) -> DataFrame:
+    """Packed list entries: (bucket, nodes, entries), a few rows for each slice of texts.
+
+    A node's core is the share of its elements that are frequent: of similar sets, the
+    one with most in common with the others has the highest.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         from .common import slices
 
-        hot, rank = shared.value
+        table = shared.value
         seen: set[int] = set()
         for batch in batches:
             texts = [x or "" for x in batch.column(0).to_pylist()]
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 nodes, parts, counts = [], [], []
                 for s in shingle_sets(texts[a:b], n):
                     g = signature(s)
                     if len(s) and g not in seen:
                         seen.add(g)
-                        nodes.append((g, len(s)))
-                        parts.append(prefix(s, hot, rank, t))
+                        level = levels(s, table)
+                        nodes.append((g, len(s), int(level.astype(np.int64).sum() * 2 // len(s))))
+                        parts.append(prefix(s, level, t))
                 for at in range(0, len(nodes), 60_000):
                     own, some = np.array(nodes[at : at + 60_000], NODE), parts[at : at + 60_000]
                     counts = [len(p) for p in some]
@@ -239,13 +247,13 @@ def size_class(n: np.ndarray, t: tuple[int, int]) -> np.ndarray:
     return np.floor(np.log(n) / np.log(t[1] / t[0]) + 1e-9).astype(np.int64)
 
 
-def pairs_of_bucket(h, sig, n, pos, t):
+def pairs_of_bucket(h, sig, n, pos, core, t):
     """Pairs of a bucket's lists, and which entries belong to long lists."""
     order = np.lexsort((sig, n, h))
-    h, sig, n, pos = h[order], sig[order], n[order], pos[order]
+    h, sig, n, pos, core = h[order], sig[order], n[order], pos[order], core[order]
     first = np.ones(len(h), bool)
     first[1:] = (h[1:] != h[:-1]) | (sig[1:] != sig[:-1])
-    h, sig, n, pos = h[first], sig[first], n[first], pos[first]
+    h, sig, n, pos, core = h[first], sig[first], n[first], pos[first], core[first]
     starts = np.nonzero(np.concatenate([[True], h[1:] != h[:-1]]))[0]
     length = np.repeat(np.diff(np.append(starts, len(h))), np.diff(np.append(starts, len(h))))
     a, b = [], []
@@ -266,12 +274,17 @@ def pairs_of_bucket(h, sig, n, pos, t):
         k = size_class(n[i], t)
         lead = np.concatenate([[True], (h[i][1:] != h[i][:-1]) | (k[1:] != k[:-1])])
         block = np.cumsum(lead) - 1
-        heads = i[lead]
-        put(heads[block], i)
+        # of each block the set with the highest core leads, the least signature where several do
+        best = np.lexsort((sig[i], -core[i].astype(np.int64), block))
+        heads = i[best[np.searchsorted(block[best], np.arange(int(block[-1]) + 1))]]
+        put(np.minimum(heads[block], i), np.maximum(heads[block], i))
         later = block > 0
         before = heads[block[later] - 1]
         same = h[before] == h[i[later]]
         put(before[same], i[later][same])
+        after = heads[np.minimum(block + 1, len(heads) - 1)]
+        same = (block + 1 < len(heads)) & (h[after] == h[i])
+        put(i[same], after[same])
     return unique_pairs(a, b), (h[long], sig[long], n[long], pos[long])
 
 
@@ -285,8 +298,9 @@ def first_pairs(entries: DataFrame, t: tuple[int, int], n_buckets: int) -> DataF
         h = np.concatenate([e["h"] for e in es])
         sig = np.concatenate([v["sig"][e["node"]] for v, e in zip(nodes, es)])
         n = np.concatenate([v["n"][e["node"]] for v, e in zip(nodes, es)]).astype(np.int64)
+        core = np.concatenate([v["core"][e["node"]] for v, e in zip(nodes, es)])
         pos = np.concatenate([e["pos"] for e in es]).astype(np.int64)
-        (a, b), (lh, ls, ln, lp) = pairs_of_bucket(h, sig, n, pos, t)
+        (a, b), (lh, ls, ln, lp) = pairs_of_bucket(h, sig, n, pos, core, t)
         for at in range(0, len(a), 200_000):
             x, y = pa.array(a[at : at + 200_000]), pa.array(b[at : at + 200_000])
             none = pa.nulls(len(x))
@@ -433,7 +447,7 @@ def jaccard_components(
     nodes = materialize(nodes, "nodes")
     total = nodes.agg(F.sum(F.col("n") * (t[1] - t[0]) / t[1] + 1)).first()[0] or 0
     n_buckets = max(4, int(total // BUCKET_ENTRIES) + 1)
-    entries = list_entries(docs, frequent_elements(rows), n, t, n_buckets, text_col)
+    entries = list_entries(docs, frequencies(rows), n, t, n_buckets, text_col)
     found = materialize(first_pairs(entries, t, n_buckets), "pairs")
     pairs = found.where("a is not null").select("a", "b").distinct()
     links = verified(bounded(pairs, nodes, t), docs, nodes, n, t, id_col, text_col)
