@@ -1,4 +1,4 @@
 """All queries of the engine, by name."""
 
-from . import generic, labels_and_latex, layout, records  # noqa: F401
+from . import content, generic, labels_and_latex, layout, records  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
