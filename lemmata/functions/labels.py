@@ -28,14 +28,11 @@ def normalise_number(raw: Column) -> Column:
 
 def label_matches(text: Column) -> Column:
     """array<struct<label, explicit>> of all definition labels in a text."""
-    found = []
-    for pattern, explicit in ((EXPLICIT, True), (DASH, True), (PAREN_EOL, False), (BRACKET_EOL, False)):
-        found.append(
-            F.transform(
-                F.regexp_extract_all(text, F.lit(pattern), F.lit(1)),
-                lambda x, e=explicit: F.struct(normalise_label(x).alias("label"), F.lit(e).alias("explicit")),
-            )
-        )
+    def of(pattern: str, explicit: bool) -> Column:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+        return F.transform(found, lambda x: F.struct(normalise_label(x).alias("label"), F.lit(explicit).alias("explicit")))
+
+    found = [of(EXPLICIT, True), of(DASH, True), of(PAREN_EOL, False), of(BRACKET_EOL, False)]
     return F.concat(*found)
 
 

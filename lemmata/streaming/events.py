@@ -11,17 +11,22 @@ def event_stream(spark: SparkSession, path: str, schema: str, files: int = 100,
     return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files).load(path)
 
 
+def timed(events: DataFrame, late: str) -> DataFrame:
+    """A watermark needs an instant; local times are read in the session's zone."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+
+
 def tumbling_counts(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    t = events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type")
+    t = timed(events, late).groupBy(F.window("ts", width).alias("w"), "event_type")
     return t.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
 def sliding_counts(events: DataFrame, width: str = "1 hour", slide: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width, slide).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
+    return timed(events, late).groupBy(F.window("ts", width, slide).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
 
 
 def sessions(events: DataFrame, gap: str = "6 hours", late: str = "10 minutes") -> DataFrame:
-    t = events.withWatermark("ts", late).groupBy("user_id", F.session_window("ts", gap).alias("w"))
+    t = timed(events, late).groupBy("user_id", F.session_window("ts", gap).alias("w"))
     return t.agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), "n")
 
 
