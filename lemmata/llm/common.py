@@ -117,14 +117,21 @@ class Memo:
     """Worker cache from chunk to value, filled for many chunks at a time.
 
     It holds ``limit`` entries at most, and starts anew when more are needed;
-    chunks of over 64 characters are made each time.
+    chunks of over 64 characters are made each time. A worker that goes on to another
+    operator's memo drops the one it used before.
     """
 
+    in_use: Memo | None = None
+
     def __init__(self, make_many: Callable[[list[str]], list], limit: int = 400_000):
         self.make_many, self.limit, self.known = make_many, limit, {}
 
     def table(self, chunks: set[str]) -> dict:
         """A mapping that holds all of ``chunks``."""
+        if Memo.in_use is not self:
+            if Memo.in_use is not None:
+                Memo.in_use.known.clear()
+            Memo.in_use = self
         known = self.known
         missing = [c for c in chunks if c not in known]
         if len(known) + len(missing) > self.limit:
