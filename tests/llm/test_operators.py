@@ -257,3 +257,21 @@ def test_seeds_of_pieces(monkeypatch):
     whole = found()
     monkeypatch.setattr(suffix_dedup, "PART", 1000)
     assert found() == whole
+
+
+def test_empty_tables(spark):
+    none = frame(spark, [])
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert secrets.scan_secrets(none).count() == 0 and secrets.mask_secrets(none).count() == 0
+    assert jaccard.jaccard_components(none).count() == 0 and jaccard.keep_first(none).count() == 0
+    assert suffix_dedup.repeat_report(none).count() == 0
+    assert decontaminate.contamination(none, items).count() == 0 and decontaminate.drop_contaminated(none, items).count() == 0
+    assert toxicity.score_toxicity(none, labels).count() == 0 and toxicity.drop_toxic(none, labels).count() == 0
+    assert html.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_spans_are_removed(spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string")
+    got = rows(decontaminate.remove_spans(frame(spark, ["Start ONE, two three four five six seven eight. End", None, "plain"]), items))
+    assert [got[i]["text"] for i in range(3)] == ["start end", "", "plain"]
