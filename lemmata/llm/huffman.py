@@ -38,6 +38,8 @@ STRIDE = 256
 BLOCK_TOKENS = 1_000_000
 #: Bytes of coded ids that one output file is meant to hold.
 FILE_BYTES = 16_000_000
+#: Files at most; beyond it they grow.
+MAX_FILES = 10_000
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -227,7 +229,10 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
     codes = canonical_codes(lengths)
     spark.createDataFrame(pa.table({"length": pa.array([lengths.tobytes()], pa.binary())})).write.parquet(f"{out}/lengths")
     shared = spark.sparkContext.broadcast((lengths, codes))
-    n_files = max(1, -(-int((counts * lengths).sum()) // 8 // FILE_BYTES))
+    n_files = min(MAX_FILES, max(1, -(-int((counts * lengths).sum()) // 8 // FILE_BYTES)))
+    # Bounds of the files' id ranges from the ids alone; a range exchange would run the encoder twice to find them.
+    shares = [k / n_files for k in range(1, n_files)]
+    bounds = np.unique(np.array(ids.select("id").approxQuantile("id", shares, 0.1 / n_files), np.float64)) if shares else np.zeros(0)
 
     def to_bits(batches):
         own, own_codes = shared.value
@@ -241,19 +246,19 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
                     end += 1
                 arrays = [np.frombuffer(x, small) for x in raw[begin:end]]
                 coded, marks = encode_ids(arrays, own, own_codes)
+                own_ids = batch.column(0).slice(begin, end - begin)
+                part = np.searchsorted(bounds, own_ids.to_numpy(zero_copy_only=False), side="left")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array([len(x) for x in arrays], pa.int64()), pa.array([m.tobytes() for m in marks], pa.binary()), pa.array(coded, pa.binary())],
-                    names=["id", "n", "marks", "bits"],
+                    [pa.array(part.astype(np.int32)), own_ids, pa.array([len(x) for x in arrays], pa.int64()), pa.array([m.tobytes() for m in marks], pa.binary()), pa.array(coded, pa.binary())],
+                    names=["part", "id", "n", "marks", "bits"],
                 )
                 begin = end
 
-    coded = ids.mapInArrow(to_bits, "id bigint, n bigint, marks binary, bits binary")
-    ordered = coded.repartitionByRange(n_files, "id").sortWithinPartitions("id")
+    coded = ids.mapInArrow(to_bits, "part int, id bigint, n bigint, marks binary, bits binary")
+    ordered = coded.repartitionById(n_files, "part").sortWithinPartitions("id")
 
     def to_blocks(batches):
-        from pyspark import TaskContext
-
-        part, number, offset = TaskContext.get().partitionId(), 0, 0
+        part, number, offset = 0, 0, 0
         rows: list = []
         held = 0
 
@@ -278,7 +283,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
             )
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if rows and held + row[1] > BLOCK_TOKENS:
                     yield block()
                     number, offset, rows, held = number + 1, offset + held, [], 0
