@@ -95,8 +95,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     hits = window_hits(docs, windows).select("id", "window").distinct()
     owners = small_side(windows.select("window", "item_id").distinct())
     bad = hits.join(owners, "window").select("id", "item_id").distinct().groupBy("id").count().where(F.col("count") >= least_items)
-    bad = small_side(bad.select(F.col("id").alias("doc_id")))
-    return docs.join(bad, "doc_id", "left_anti")
+    bad = materialize(bad.select(F.col("id").alias("doc_id")), "contaminated")  # else the scan runs once more to be counted
+    return docs.join(small_side(bad), "doc_id", "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
