@@ -18,7 +18,9 @@ place in the order and are dropped; an empty table gives empty files.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import ODD_SPACE, ODD_SPLIT
+from .bpe import ODD_SPLIT
 from .common import Layered, Memo, fresh_path, slices
 from .tokens import load
 
@@ -108,11 +110,11 @@ def encode_ids(docs: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -
     offset = ends - bits + np.repeat((byte_at << 3) - before, sizes)
     out = np.zeros(int(doc_bytes.sum()) + 4, np.uint8)
     if len(flat):
-        value = codes[flat].astype(np.uint64) << (np.uint64(32) - bits.astype(np.uint64) - (offset & 7).astype(np.uint64))
+        value = codes[flat] << (32 - bits - (offset & 7)).astype(np.uint32)
         byte = offset >> 3
         first = np.nonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))[0]
         for k in range(4):
-            part = (value >> np.uint64(24 - 8 * k)) & np.uint64(255)
+            part = (value >> np.uint32(24 - 8 * k)) & np.uint32(255)
             out[byte[first] + k] += np.add.reduceat(part, first).astype(np.uint8)
     coded, marks = [], []
     for a, n, at, f in zip(byte_at.tolist(), doc_bytes.tolist(), firsts.tolist(), sizes.tolist()):
@@ -147,6 +149,10 @@ def decode_block(payload: bytes, counts: np.ndarray, marks: np.ndarray, table) -
     return out
 
 
+#: Characters that are pre-tokens of their own behind a word.
+MARKS = ",.;:!?"
+
+
 class LibraryCoder:
     """Ids of whole texts by the tokenizers library, with a memo of white-space separated chunks in front."""
 
@@ -154,20 +160,59 @@ class LibraryCoder:
         self.tok = load(path)
         self.end_id = end_id
         self.memo = Memo(self._chunks, 700_000)
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.kind = "<u2" if max(*vocabulary.values(), end_id) < 1 << 16 else "<u4"
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.marks = dict(zip(MARKS, self._whole(list(MARKS))))
         special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
-        self.special = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
+        self.special = {t: np.array([i], self.kind).tobytes() for t, i in special.items()}
         self.pattern = re.compile("|".join(map(re.escape, special)) or "(?!)")
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Words are encoded many to a text, and told apart by the ids that end one; a mark behind a word is looked up."""
+        words, odd = set(), []
+        seen, ends = self.memo.known, MARKS
+        for c in chunks:
+            w = c[:-1] if c[-1] in ends else c
+            if w in seen:
+                continue
+            if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w)):
+                words.add(w)
+            else:
+                odd.append(c)
+        seen.update(self._words(list(words)))  # a word is kept for the marks that will come behind it
+        known, marks = dict(zip(odd, self._whole(odd))), self.marks
+        return [known[c] if c in known else seen[c] if c in seen else seen[c[:-1]] + marks[c[-1]] for c in chunks]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        texts = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+        out: dict[str, bytes] = {}
+        for at in range(0, len(texts), 40):
+            own = words[at * 500 : (at + 40) * 500]
+            lists = [e.ids for e in self.tok.encode_batch_fast(texts[at : at + 40], add_special_tokens=False)]
+            flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
+            ends = np.nonzero(self.ends[flat])[0] + 1
+            if len(ends) != len(own):  # a word that is more than one pre-token: take each by itself
+                out.update(zip(own, self._whole(own)))
+                continue
+            raw, cuts = flat.astype(self.kind).tobytes(), (np.dtype(self.kind).itemsize * ends).tolist()
+            out.update((w, raw[i:j]) for w, i, j in zip(own, [0, *cuts], cuts))
+        return out
+
+    def _whole(self, chunks: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(chunks), 20_000):
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(chunks[at : at + 20_000], add_special_tokens=False)]
+            out += [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(chunks[at : at + 20_000], add_special_tokens=False)]
         return out
 
     def _plain(self, text: str) -> list[str]:
-        if text.isascii():
+        try:  # no character of Latin-1 changes under NFC, before or after it is put in lower case
+            text.encode("latin-1")
             text = text.lower()
-        return ODD_SPLIT.findall(text) if ODD_SPACE.search(text) else text.split()
+        except UnicodeEncodeError:
+            pass
+        return ODD_SPLIT.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
     def _pieces(self, text: str) -> list:
         if "<|" not in text or not self.pattern.search(text):
@@ -178,15 +223,16 @@ class LibraryCoder:
             at = m.end()
         return out + self._plain(text[at:])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text with the end id, as little-endian integers of ``kind``."""
         pieces = [self._pieces(t) for t in texts]
         unique = set().union(*pieces)
-        marks = {p for p in unique if isinstance(p, tuple)}
+        marks = {(t,) for t in self.special} & unique
         table = self.memo.table(unique - marks if marks else unique)
         if marks:
             table = Layered(table, {p: self.special[p[0]] for p in marks})
-        end = np.array([self.end_id], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*map(table.__getitem__, p), end]), "<u4") for p in pieces]
+        end = np.array([self.end_id], self.kind).tobytes()
+        return [b"".join([*map(table.__getitem__, p), end]) for p in pieces]
 
 
 @functools.lru_cache(2)
@@ -198,15 +244,15 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
     """Write ``docs`` under ``out``: folders blocks, parts and lengths."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    n_vocab = load(path).get_vocab_size(with_added_tokens=True)
-    small = "<u2" if max(n_vocab, end_id + 1) <= 1 << 16 else "<u4"
+    coder = library_coder(path, end_id)
+    n_vocab, small = len(coder.ends), coder.kind
 
     def to_ids(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts):
                 ids = library_coder(path, end_id).encode(texts[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([i.astype(small).tobytes() for i in ids], pa.binary())], names=["id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], names=["id", "ids"])
 
     at = fresh_path(spark, "ids")
     base.mapInArrow(to_ids, "id bigint, ids binary").write.option("compression", "zstd").parquet(at)
