@@ -218,7 +218,7 @@ class Coder:
 
     def __init__(self, path: str):
         self.bpe = WordBpe(path)
-        self.memo = Memo(self._chunks)
+        self.memo = Memo(self._chunks, 150_000)
         names = self.bpe.names
         self.special = {t: (str(i).encode(), names[i].encode()) for t, i in self.bpe.special.items()}
 

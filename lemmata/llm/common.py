@@ -131,6 +131,7 @@ class Memo:
         if Memo.in_use is not self:
             if Memo.in_use is not None:
                 Memo.in_use.known.clear()
+                pa.default_memory_pool().release_unused()
             Memo.in_use = self
         known = self.known
         missing = [c for c in chunks if c not in known]

@@ -34,14 +34,14 @@ from .components import components
 #: A list of at most so many nodes gives all its pairs at once.
 SHORT_LIST = 8
 #: Entries that one bucket of lists should hold.
-BUCKET_ENTRIES = 800_000
+BUCKET_ENTRIES = 500_000
 #: Cells of the broadcast table of frequencies, a byte each at every size of the input.
 CELLS = 1 << 22
 #: Characters of texts that are worked on at once.
 SLICE = 2_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-_words = Memo(lambda chunks: [xxhash.xxh3_64_intdigest(c) for c in chunks], 250_000)
+_words = Memo(lambda chunks: [xxhash.xxh3_64_intdigest(c) for c in chunks], 150_000)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -141,7 +141,7 @@ def profiles(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
                     [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int32()), pa.array(sigs, pa.int64()), pa.array([bitmap(s) if len(s) else b"" for s in sets], pa.binary()), none.cast(pa.int64()), none.cast(pa.int64())],
                     names=["id", "n", "sig", "sketch", "h", "c"],
                 )
-                if held > 3_000_000:
+                if held > 1_500_000:
                     yield frequent()
                     kept.clear()
                     held = 0
