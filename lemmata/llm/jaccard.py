@@ -314,7 +314,8 @@ def first_pairs(entries: DataFrame, t: tuple[int, int], n_buckets: int) -> DataF
     def run(batches):
         bucket, rows = None, []
         for batch in batches:
-            for k, nodes, es in zip(*(c.to_pylist() for c in batch.columns)):
+            # row by row, so that no second copy of the batch is made
+            for k, nodes, es in ([c[i].as_py() for c in batch.columns] for i in range(batch.num_rows)):
                 if k != bucket and rows:
                     yield from made(bucket, rows)
                     rows = []
@@ -398,9 +399,10 @@ def packed(s: np.ndarray) -> bytes:
     return np.ascontiguousarray((s << np.uint64(8)).view(np.uint8).reshape(-1, 8)[:, 1:6] if len(s) else np.zeros((0, 5), np.uint8)).tobytes()
 
 
-def unpacked(raw: bytes) -> np.ndarray:
-    x = np.zeros((len(raw) // 5, 8), np.uint8)
-    x[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+def unpacked(raw) -> np.ndarray:
+    flat = np.frombuffer(raw, np.uint8)
+    x = np.zeros((len(flat) // 5, 8), np.uint8)
+    x[:, :5] = flat.reshape(-1, 5)
     return x.view(np.uint64).ravel()
 
 
@@ -421,10 +423,10 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, t: tup
 
     def compare(batches):
         for batch in batches:
-            _, _, e_a, e_b = (c.to_pylist() for c in batch.columns)
             ok = []
-            for x, y in zip(e_a, e_b):
-                both_n = (len(x) + len(y)) // 5
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = x.as_buffer(), y.as_buffer()
+                both_n = (x.size + y.size) // 5
                 z = np.sort(np.concatenate([unpacked(x), unpacked(y)]))
                 common = int((z[1:] == z[:-1]).sum())
                 ok.append((num + den) * common >= num * both_n)
