@@ -85,15 +85,16 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decoding_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(id, length) for each value of the next ``width`` bits."""
+def decoding_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each value of the next ``width`` bits the id, and in the top byte the length of its code."""
     width = max(1, int(lengths.max(initial=0)))
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
     repeat = 1 << (width - lengths[order].astype(np.int64))
     ids, bits = np.repeat(order, repeat), np.repeat(lengths[order], repeat)
     pad = (1 << width) - len(ids)
-    return np.pad(ids, (0, pad)).astype(np.uint32), np.pad(bits, (0, pad), constant_values=1), width
+    ids, bits = np.pad(ids, (0, pad)), np.pad(bits, (0, pad), constant_values=1)
+    return ids.astype(np.uint32) | bits.astype(np.uint32) << np.uint32(24), width
 
 
 def encode_ids(docs: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
@@ -113,9 +114,10 @@ def encode_ids(docs: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -
         value = codes[flat] << (32 - bits - (offset & 7)).astype(np.uint32)
         byte = offset >> 3
         first = np.nonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))[0]
+        # codes that begin in one byte share no bit, so their sum joins them
+        words, byte = np.add.reduceat(value, first), byte[first]
         for k in range(4):
-            part = (value >> np.uint32(24 - 8 * k)) & np.uint32(255)
-            out[byte[first] + k] += np.add.reduceat(part, first).astype(np.uint8)
+            out[byte + k] += (words >> np.uint32(24 - 8 * k)).astype(np.uint8)
     coded, marks = [], []
     for a, n, at, f in zip(byte_at.tolist(), doc_bytes.tolist(), firsts.tolist(), sizes.tolist()):
         coded.append(out[a : a + n].tobytes())
@@ -125,7 +127,7 @@ def encode_ids(docs: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -
 
 def decode_block(payload: bytes, counts: np.ndarray, marks: np.ndarray, table) -> np.ndarray:
     """Ids of all documents of a block, one after the other."""
-    ids, bits, width = table
+    packed, width = table
     raw = np.frombuffer(payload + b"\0\0\0\0", np.uint8).astype(np.uint32)
     window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
     lanes = -(-counts // STRIDE)
@@ -144,8 +146,9 @@ def decode_block(payload: bytes, counts: np.ndarray, marks: np.ndarray, table) -
             break
         here = at[:n]
         peek = window[here >> 3] >> (np.uint32(32 - width) - (here & 7).astype(np.uint32)) & mask
-        out[start[:n] + k] = ids[peek]
-        here += bits[peek]
+        got = packed[peek]
+        out[start[:n] + k] = got & np.uint32(0xFFFFFF)
+        here += got >> np.uint32(24)
     return out
 
 
@@ -159,7 +162,7 @@ class LibraryCoder:
     def __init__(self, path: str, end_id: int):
         self.tok = load(path)
         self.end_id = end_id
-        self.memo = Memo(self._chunks, 700_000)
+        self.memo = Memo(self._chunks, 900_000)
         vocabulary = self.tok.get_vocab(with_added_tokens=True)
         self.kind = "<u2" if max(*vocabulary.values(), end_id) < 1 << 16 else "<u4"
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
