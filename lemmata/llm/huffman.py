@@ -152,10 +152,18 @@ def decode_block(payload: bytes, counts: np.ndarray, marks: np.ndarray, table) -
     return out
 
 
-#: Characters that are pre-tokens of their own behind a word.
+#: Characters that are pre-tokens of their own behind a letter or digit; behind any other character they join its pre-token.
 MARKS = ",.;:!?"
 
 
+def ends_apart(chunk: str) -> bool:
+    """Whether a mark behind ``chunk`` is a pre-token of its own: the chunk, as normalized, ends in a letter or digit."""
+    last = chunk[-1:]
+    if last and not last.isascii():  # some letters end in a combining mark once normalized
+        last = unicodedata.normalize("NFC", chunk).lower()[-1]
+    return last.isalnum()
+
+
 class LibraryCoder:
     """Ids of whole texts by the tokenizers library, with a memo of white-space separated chunks in front."""
 
@@ -173,11 +181,11 @@ class LibraryCoder:
         self.pattern = re.compile("|".join(map(re.escape, special)) or "(?!)")
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Words are encoded many to a text, and told apart by the ids that end one; a mark behind a word is looked up."""
+        """Words are encoded many to a text, and told apart by the ids that end one; a mark behind a letter or digit is looked up."""
         words, odd = set(), []
         seen, ends = self.memo.known, MARKS
         for c in chunks:
-            w = c[:-1] if c[-1] in ends else c
+            w = c[:-1] if c[-1] in ends and ends_apart(c[:-1]) else c
             if w in seen:
                 continue
             if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w)):

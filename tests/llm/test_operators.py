@@ -74,6 +74,13 @@ def test_token_files(spark, word_tok):
     assert huffman.token_files(frame(spark, []), public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def test_marks_join_a_pre_token_of_marks(word_tok):
+    coder = huffman.LibraryCoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+    for text in ("what? (foo) wait.. \"foo\" \u0130 x\u00b2 \ufb1d", "what?! (foo), wait... \"foo\". \u0130! x\u00b2, \ufb1d. foo, foo?"):  # the second call has marks behind what the first one kept
+        got = np.frombuffer(coder.encode([text])[0], coder.kind).tolist()
+        assert got == word_tok.encode(text, add_special_tokens=False).ids + [1]
+
+
 def test_code_lengths_are_limited_and_complete():
     counts = np.array([2**k for k in range(30)] + [0, 5])
     lengths = huffman.code_lengths(counts, 8)
