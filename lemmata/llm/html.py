@@ -5,8 +5,13 @@ menus, headers, footers, sidebars, notices, adverts, forms and reader comments
 keep their place but weigh nothing, and each such part leaves a gap as wide as
 the window. Sums of text length over sliding windows of lines then surge where
 an article begins and dive to nothing where it ends; the text between is kept.
-Where the page marks its article, the regions that overlap it are the ones kept;
-else the heaviest region and any other of at least a quarter of its weight.
+Where the page marks its article, the regions that overlap it are the ones kept.
+Else the heaviest region and any other of at least a quarter of its weight tell
+where the article is: all lines from the first of these regions to the last stay,
+and all other lines in the container that holds most of their text, however light.
+Siblings of one name and the same attributes are one container. Lines that are
+mostly links don't weigh, and stay by the same rule, but where that container is
+the whole body, only between the regions.
 
 Defined results: null and empty pages have an empty text; a page without any
 article text too; markup that is cut off ends with the page; repeated rows each
@@ -38,6 +43,8 @@ BLOCK = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never belong to an article.
 APART = frozenset("nav footer aside form menu dialog select button fieldset search".split())
+#: Elements that tell one part of a page from another.
+CONTAINER = frozenset("div section center td".split())
 #: Words in class, id or role that mark such parts.
 MARK = re.compile(
     r"""(?:^|[\s"'_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumb\w*|sidebar|side|"""
@@ -59,13 +66,20 @@ def is_apart(name: str, attributes: str, in_article: bool) -> bool:
     return any(MARK.search(v.strip("\"'")) for v in ATTRIBUTE.findall(attributes)) or bool(CONCEALED.search(attributes))
 
 
-def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], list[int]]:
-    """Lines of a page: text, whether it is apart, whether it is in a marked article, and the text length of its links."""
+def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], list[int], list[int], list[int]]:
+    """Lines of a page: text, whether it is apart, whether it is in a marked article, the text length of its links, and its container.
+
+    Last come the containers' parents; container 0 is the body, its own parent, and parents come before what they hold.
+    """
     page = RAW.sub(" ", COMMENT.sub("", page))
     texts: list[str] = []
     apart: list[bool] = []
     marked: list[bool] = []
     links: list[int] = []
+    held_by: list[int] = []
+    parents = [0]
+    known: dict[tuple[int, str, str], int] = {}
+    inside: list[tuple[str, int]] = [("", 0)]  # open containers
     buffer: list[str] = []
     skip = 0  # depth of elements of the name that opened the part
     skip_name = ""
@@ -81,6 +95,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], list[int]]:
                 apart.append(bool(skip))
                 marked.append(article > 0)
                 links.append(min(linked, len(t)))
+                held_by.append(inside[-1][1])
         linked = 0
 
     def gap():
@@ -89,6 +104,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], list[int]]:
             apart.append(True)
             marked.append(article > 0)
             links.append(0)
+            held_by.append(inside[-1][1])
 
     at = 0
     for m in TAG.finditer(page):
@@ -117,6 +133,9 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], list[int]]:
                 link = max(0, link - 1)
             elif name in ("article", "main"):
                 article = max(0, article - 1)
+            elif name in CONTAINER:
+                k = next((k for k in range(len(inside) - 1, 0, -1) if inside[k][0] == name), len(inside))
+                del inside[k:]
         elif name in VOID or selfclosing:
             continue
         elif is_apart(name, attributes, article > 0):
@@ -127,9 +146,15 @@ def lines_of(page: str) -> tuple[list[str], list[bool], list[bool], list[int]]:
             link += 1
         elif name in ("article", "main"):
             article += 1
+        elif name in CONTAINER:
+            key = (inside[-1][1], name, attributes.strip())
+            if key not in known:
+                known[key] = len(parents)
+                parents.append(key[0])
+            inside.append((name, known[key]))
     buffer.append(page[at:])
     close()
-    return texts, apart, marked, links
+    return texts, apart, marked, links, held_by, parents
 
 
 def regions(weights: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -147,22 +172,43 @@ def regions(weights: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
     return out
 
 
+def chosen(own: np.ndarray, links: list[int], held_by: list[int], parents: list[int]) -> list[int]:
+    """Lines that stay on a page without a marked article."""
+    linked = 2 * np.array(links) > own
+    plain = np.where(linked, 0, own)
+    found = regions(plain)
+    if not found:
+        return []
+    heavy = [int(plain[a:b].sum()) for a, b in found]
+    heavy_regions = [r for r, w in zip(found, heavy) if 4 * w >= max(heavy)]
+    first, last = heavy_regions[0][0], heavy_regions[-1][1]
+    weight = [0] * len(parents)
+    for a, b in heavy_regions:
+        for i in range(a, b):
+            weight[held_by[i]] += int(plain[i])
+    for k in range(len(parents) - 1, 0, -1):
+        weight[parents[k]] += weight[k]
+    # those with more than half of the text are each in the other, the innermost last
+    best = max(k for k, w in enumerate(weight) if 2 * w > weight[0])
+    within = [best == 0]
+    for k in range(1, len(parents)):
+        within.append(k == best or within[parents[k]])
+    return [i for i in np.nonzero(own)[0].tolist() if first <= i < last or (within[held_by[i]] and (best or not linked[i]))]
+
+
 def main_text(page: str) -> str:
     if not page:
         return ""
-    texts, apart, marked, links = lines_of(page)
+    texts, apart, marked, links, held_by, parents = lines_of(page)
     own = np.array([0 if a else len(t) for t, a in zip(texts, apart)], np.int64)
     if not own.any():
         return ""
     if any(m and w for m, w in zip(marked, own.tolist())):
         own = np.where(marked, own, 0)
-        found = regions(own)
+        kept = [i for a, b in regions(own) for i in range(a, b) if own[i]]
     else:
-        own = np.where(2 * np.array(links) > own, 0, own)  # lines that are mostly links
-        found = regions(own)
-        heavy = [int(own[a:b].sum()) for a, b in found]
-        found = [r for r, w in zip(found, heavy) if 4 * w >= max(heavy)]
-    return "\n".join(texts[i] for a, b in found for i in range(a, b) if own[i])
+        kept = chosen(own, links, held_by, parents)
+    return "\n".join(texts[i] for i in kept)
 
 
 def extract_main_text(pages: DataFrame, id_cols: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:

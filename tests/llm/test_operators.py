@@ -132,6 +132,22 @@ def test_main_text(spark):
     assert got[5]["n_chars"] == len(got[5]["text"]) > 0
 
 
+def test_main_text_of_an_unmarked_article_in_pieces():
+    body = "".join(f"<p>Paragraph {k} {'of the body ' * 40}</p>" for k in range(10))
+    ad, form = "<div class='ad'>Buy</div>", "<form class=newsletter>Mail</form>"
+    links = "<p><a href=a>A source of the article</a></p>"
+    site, tail = "<div class=blurb><p>About us</p></div><nav>Menu</nav>", "<footer>F</footer><div class=blurb><p>Made by us</p></div>"
+    pieces = [f"<h1>Title</h1><p>Intro {'x ' * 100}</p>", ad, body, links, ad, "<p>Short middle.</p>", ad, body, form, f"<p>Short end.</p>{links}"]
+    want = [html.lines_of(p)[0] for p in pieces if p not in (ad, form)]
+    want = [t for lines in want for t in lines if t]
+    inner = "".join(pieces)
+    assert html.main_text(f"<body>{site}<div class=text>{inner}</div>{tail}").split("\n") == want
+    split = "".join(p if p in (ad, form) else f"<div class=part>{p}</div>" for p in pieces)
+    assert html.main_text(f"<body>{site}<div id=w>{split}</div>{tail}").split("\n") == want
+    bare = html.main_text(f"<body><ul><li><a href=h>Home</a></li></ul><nav>Menu</nav>{inner}").split("\n")
+    assert bare == want[:-1]  # links before or behind the article are no part of it where nothing holds it together
+
+
 def test_toxicity_learns_and_handles_odd_rows(spark):
     rng = random.Random(1)
     texts = [words_doc(rng, 40) + (" vileword" if i % 3 == 0 else "") for i in range(600)] + [None, ""]
