@@ -3,8 +3,8 @@
 Base detectors find assignments, access keys and hex runs. The method adds
 candidates: runs of key-like characters over which a window slides; its Shannon
 entropy is kept up to date by adding one count and dropping one per step, with a
-limit for each character class. Windows above the limit join into a span.
-An allow list suppresses candidates only, never base spans.
+limit for each character class. A candidate with a window that reaches its limit
+is a span as a whole. An allow list suppresses candidates only, never base spans.
 
 Defined results: null and empty texts have no spans; repeated rows each get a
 row; an empty table gives an empty table.
@@ -30,17 +30,20 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Window, and least entropy in bits a character, by class of the window's characters.
+#: Window, and least entropy in bits a character, by class of the window's characters; 20 characters have 4.32 at most, 20 digits 3.28.
+#: Of random windows, 95 % reach 3.68 (letters of both cases) and 2.65 (digits); words are told by the allow list.
 WINDOW = 20
-LIMITS = {"digits": 9.9, "hex": 3.1, "letters": 9.9, "alnum": 3.7, "base64": 3.9}
+LIMITS = {"digits": 2.6, "hex": 3.1, "letters": 3.7, "alnum": 3.7, "base64": 3.9}
+#: A word in one case, or words joined by capitals, each with two small letters or more behind it.
+NAME = r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+)"
 #: Candidates that are no secrets: fixed patterns of the allow list.
 ALLOW = tuple(
     re.compile(p)
     for p in (
         r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",  # UUIDs
-        r"[A-Za-z]+(?:[-_/][A-Za-z]+)*",  # words joined by dashes
+        rf"{NAME}(?:[-_/]{NAME})*",  # words joined by dashes
         r"[-=_+/]+",  # rules
-        r"[0-9]+(?:[-/][0-9]+)*",  # numbers, dates
+        r"[0-9]{1,15}(?:[-/][0-9]{1,15})*",  # dates, numbers in parts
         r"(?:example|sample|dummy|placeholder|changeme|xxxx).*",
     )
 )
@@ -105,7 +108,7 @@ def all_spans(text: str) -> tuple[list, list]:
     more = []
     for m in CANDIDATE.finditer(text):
         if not any(p.fullmatch(m[0]) for p in ALLOW):
-            more += [(m.start() + a, 3, m.start() + b) for a, b in entropy_spans(m[0])]
+            more += [(m.start(), 3, m.end())] * bool(entropy_spans(m[0]))
     return base, sorted(base + more)
 
 

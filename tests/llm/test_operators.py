@@ -102,6 +102,18 @@ def test_secrets(spark):
     assert "[secret]" in secrets.mask(texts[6]) and "q9Zk" not in secrets.mask(texts[6])
 
 
+def test_secrets_of_letters_or_digits_and_whole_keys():
+    key = "qZkXmLvBtRnYwPsDhGjFcKqVxNzTbW"
+    for secret in (key, key + "7", "kQzXvBnMwRtYpLsDgHjF", "83019462750183926475", "aaaaaaaaaaaa" + key):
+        text = f"see {secret} end"
+        assert f"entropy:4:{4 + len(secret)}" in secrets.show(secrets.all_spans(text)[1])
+        assert secrets.mask(text) == "see [secret] end"
+    for clean in ("internationalOrganisationForStandards", "a-well-known-and-very-long-slug", "SOME_CONSTANT_NAME_OF_CAPITALS", "path/to/MyClassName/anotherPartOfIt", "2024-01-01/2024-12-31"):
+        assert secrets.all_spans(f"see {clean} end")[1] == []
+    for kind, limit in secrets.LIMITS.items():
+        assert limit < np.log2(10 if kind == "digits" else secrets.WINDOW), kind
+
+
 def test_entropy_counts_match_a_fresh_sum():
     import math
 
