@@ -37,6 +37,8 @@ FILTERS = [
     )
 ]
 QUANTILES = (-0.18, 0.0, 0.18)
+#: Recordings that a worker renders or reads at a time.
+MEDIA_ROWS = 64
 #: Leading bits of an integer that must agree to vote for an offset.
 VOTE_BITS = 20
 
@@ -133,8 +135,10 @@ def fingerprints(media: DataFrame, id_col: str, wav_col: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            codes = [fingerprint(decode_wav(w)).astype(np.int64) for w in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.list_(pa.int64()))], names=["id", "codes"])
+            for at in range(0, batch.num_rows, MEDIA_ROWS):
+                part = batch.slice(at, MEDIA_ROWS)
+                codes = [fingerprint(decode_wav(w)).astype(np.int64) for w in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.list_(pa.int64()))], names=["id", "codes"])
 
     kind = base.schema["id"].dataType.simpleString()
     return base.mapInArrow(run, f"id {kind}, codes array<bigint>")
@@ -170,12 +174,12 @@ def align(queries: DataFrame, recordings: DataFrame, max_error: float = 0.25, le
     )
 
 
-def render(vector: list[float] | None, notes: int = 24, seconds: float = 0.2) -> bytes | None:
-    """A melody from a vector, as WAV: the magnitudes of its values choose notes. The test tables hold no media."""
+def render(vector: list[float] | None, notes: int | None = None, seconds: float = 0.2) -> bytes | None:
+    """A melody from a vector, as WAV: a note for each value, sign included. The test tables hold no media."""
     if not vector:
         return None
-    v = np.resize(np.nan_to_num(np.asarray(vector, np.float64)), notes)
-    pitch = np.floor(np.abs(v) * 97).astype(int) % 36
+    v = np.resize(np.nan_to_num(np.asarray(vector, np.float64)), notes or len(vector))
+    pitch = np.floor(v * 97).astype(int) % 36  # v and -v never have one pitch class
     t = np.arange(int(RATE * seconds)) / RATE
     envelope = np.minimum(1, np.minimum(t, t[::-1]) * 50)
     tones = [envelope * (0.5 * np.sin(2 * np.pi * f * t) + 0.2 * np.sin(4 * np.pi * f * t)) for f in 130.81 * 2 ** (pitch / 12)]
@@ -187,7 +191,9 @@ def with_media(embeddings: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            wavs = [render(v) for v in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(wavs, pa.binary())], names=["vec_id", "wav"])
+            for at in range(0, batch.num_rows, MEDIA_ROWS):
+                part = batch.slice(at, MEDIA_ROWS)
+                wavs = [render(v) for v in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(wavs, pa.binary())], names=["vec_id", "wav"])
 
     return embeddings.select(F.col("vec_id").cast("bigint"), "embedding").mapInArrow(run, "vec_id bigint, wav binary")

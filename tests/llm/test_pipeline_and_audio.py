@@ -52,6 +52,17 @@ def test_alignment_of_a_cut(spark):
     assert all(k[1] in (2, 9) for k in found)
 
 
+def test_every_value_and_sign_reaches_the_fingerprint():
+    rng = np.random.default_rng(4)
+    v = rng.normal(scale=0.2, size=64)
+    own = audio.fingerprint(audio.decode_wav(audio.render(v.tolist())))
+    for k in range(64):
+        turned = v.copy()
+        turned[k] = -v[k]
+        other = audio.fingerprint(audio.decode_wav(audio.render(turned.tolist())))
+        assert len(other) == len(own) and (other != own).any(), k
+
+
 def test_integral_image_gives_plain_sums():
     x = audio.decode_wav(audio.render(np.linspace(-1, 1, 64).tolist()))
     image = audio.chroma(x)
