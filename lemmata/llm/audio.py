@@ -3,9 +3,9 @@
 A recording (16-bit mono WAV) is mixed to frames of energy in the twelve pitch
 classes. Sums over rectangles of that image come from its integral image; each of
 sixteen filters compares such sums and is quantised to two bits, so that a frame
-position gives one 32-bit integer. Two recordings are aligned by the histogram of
-offsets at which their integers agree on their leading bits, and judged by the
-share of wrong bits at the best offset.
+position gives one 32-bit integer. Two recordings are aligned at the offsets at
+which integers of theirs agree on either half of their bits; each such offset is
+judged by its share of wrong bits, and the best one is kept.
 
 Defined results: null, empty and unreadable media have an empty fingerprint, as
 have recordings too short for one filter; repeated rows each get a row; an empty
@@ -39,8 +39,8 @@ FILTERS = [
 QUANTILES = (-0.18, 0.0, 0.18)
 #: Recordings that a worker renders or reads at a time.
 MEDIA_ROWS = 64
-#: Leading bits of an integer that must agree to vote for an offset.
-VOTE_BITS = 20
+#: An integer votes for an offset by each of its disjoint groups of so many bits that agrees.
+VOTE_BITS = 16
 
 
 def decode_wav(raw: bytes | None) -> np.ndarray:
@@ -147,31 +147,33 @@ def fingerprints(media: DataFrame, id_col: str, wav_col: str) -> DataFrame:
 def align(queries: DataFrame, recordings: DataFrame, max_error: float = 0.25, least_overlap: int = 12) -> DataFrame:
     """Alignments (query, id, offset, overlap, bit_error) of fingerprint tables, the best offset of each pair.
 
-    Codes are counted by (query, id, offset) before rows move, and the whole codes
-    of a pair are compared once.
+    Every offset with a vote and enough overlap is judged. Codes of a pair are
+    fetched once, for all its offsets.
     """
     def spread(df, name):
-        # a code's repeats in a recording vote for their own offsets; equal (id, code, place) can't occur twice
-        return df.select(F.col("id").alias(name), F.posexplode("codes").alias(f"at_{name}", "code")).withColumn(
-            "vote", F.shiftright("code", 32 - VOTE_BITS)
-        )
-
-    votes = spread(queries, "query").join(spread(recordings, "id"), "vote")
-    votes = votes.groupBy("query", "id", (F.col("at_id") - F.col("at_query")).alias("offset")).agg(F.count("*").alias("votes"))
-    best = votes.groupBy("query", "id").agg(F.max(F.struct("votes", -F.abs("offset"), "offset")).alias("b"))
-    best = best.select("query", "id", F.col("b.offset").alias("offset"))
-    both = best.join(queries.select(F.col("id").alias("query"), F.col("codes").alias("q")), "query").join(
+        placed = df.select(F.col("id").alias(name), F.size("codes").alias(f"n_{name}"), F.posexplode("codes").alias(f"at_{name}", "code"))
+        groups = [F.lit(k << VOTE_BITS) + F.shiftright("code", k * VOTE_BITS).bitwiseAND((1 << VOTE_BITS) - 1) for k in range(32 // VOTE_BITS)]
+        return placed.withColumn("vote", F.explode(F.array(*groups))).drop("code")
+
+    def shared(n_query, n_id, offset):
+        first = F.greatest(F.lit(0), -offset)
+        return first, F.least(n_query - first, n_id - offset - first)
+
+    votes = spread(queries, "query").join(spread(recordings, "id"), "vote").withColumn("offset", F.col("at_id") - F.col("at_query"))
+    votes = votes.where(shared(F.col("n_query"), F.col("n_id"), F.col("offset"))[1] >= least_overlap)
+    offsets = votes.groupBy("query", "id").agg(F.collect_set("offset").alias("offsets"))
+    both = offsets.join(queries.select(F.col("id").alias("query"), F.col("codes").alias("q")), "query").join(
         recordings.select("id", F.col("codes").alias("r")), "id"
     )
-    first = F.greatest(F.lit(0), -F.col("offset"))
-    overlap = F.least(F.size("q") - first, F.size("r") - F.col("offset") - first)
-    x = F.slice("q", first + 1, F.greatest(F.col("overlap"), F.lit(0)))
-    y = F.slice("r", first + F.col("offset") + 1, F.greatest(F.col("overlap"), F.lit(0)))
-    wrong = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
-    out = both.withColumn("overlap", overlap).where(F.col("overlap") >= least_overlap)
-    return out.withColumn("bit_error", wrong / (32.0 * F.col("overlap"))).where(F.col("bit_error") <= max_error).select(
-        "query", "id", "offset", "overlap", "bit_error"
-    )
+
+    def judged(offset):
+        first, overlap = shared(F.size("q"), F.size("r"), offset)
+        x, y = F.slice("q", first + 1, overlap), F.slice("r", first + offset + 1, overlap)
+        wrong = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
+        return F.struct((wrong / (32.0 * overlap)).alias("bit_error"), F.abs(offset).alias("shift"), offset.alias("offset"), overlap.alias("overlap"))
+
+    best = both.select("query", "id", F.array_min(F.transform("offsets", judged)).alias("b"))
+    return best.where(F.col("b.bit_error") <= max_error).select("query", "id", "b.offset", "b.overlap", "b.bit_error")
 
 
 def render(vector: list[float] | None, notes: int | None = None, seconds: float = 0.2) -> bytes | None:

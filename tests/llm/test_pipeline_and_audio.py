@@ -52,6 +52,33 @@ def test_alignment_of_a_cut(spark):
     assert all(k[1] in (2, 9) for k in found)
 
 
+def test_recall_against_brute_force(spark):
+    """Cuts of recordings as long as the registered query's, their bits wrong at random."""
+    rng = np.random.default_rng(5)
+    recordings = [audio.fingerprint(audio.decode_wav(audio.render(rng.normal(scale=0.2, size=64).tolist()))) for _ in range(30)]
+    asked = []
+    for error in (0.05, 0.1, 0.15, 0.2, 0.25):
+        for k in range(30):
+            cut = recordings[k][rng.integers(0, 20) :]
+            wrong = rng.random((len(cut), 32)) < error
+            asked.append(cut ^ (wrong << np.arange(32)).sum(axis=1).astype(np.uint32))
+    want = {}
+    for q, a in enumerate(asked):
+        for r, b in enumerate(recordings):
+            errors = []
+            for offset in range(12 - len(a), len(b) - 11):
+                x, y = a[max(0, -offset) :], b[max(0, offset) :]
+                n = min(len(x), len(y))
+                errors.append(int(np.bitwise_count(x[:n] ^ y[:n]).sum()) / (32 * n))
+            if min(errors) <= 0.25:
+                want[q, r] = min(errors)
+    frame = lambda codes: spark.createDataFrame([(k, c.tolist()) for k, c in enumerate(codes)], "id long, codes array<bigint>")
+    got = {(r["query"], r["id"]): r["bit_error"] for r in audio.align(frame(asked), frame(recordings)).collect()}
+    found = [k for k in want if k in got]
+    print(f"recall {len(found)} of {len(want)}, at the least error {sum(got[k] == want[k] for k in found)}")
+    assert len(want) > 120 and set(got) <= set(want) and len(found) >= 0.9 * len(want)
+
+
 def test_every_value_and_sign_reaches_the_fingerprint():
     rng = np.random.default_rng(4)
     v = rng.normal(scale=0.2, size=64)
