@@ -44,6 +44,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if state == last_state:
             break
         last_path, last_state = path, state
+    else:
+        raise RuntimeError(f"components were not stable after {max_rounds} rounds")
     own = now.groupBy("a").agg(F.min("b").alias("component"))
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return own.select(F.col("a").alias("node"), "component").unionByName(roots)

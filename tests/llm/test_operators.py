@@ -241,6 +241,13 @@ def test_jaccard_components(spark):
     assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(texts))] == plain_components(texts)
 
 
+def test_components_that_are_not_stable_raise(spark):
+    from lemmata.llm.components import components
+
+    with pytest.raises(RuntimeError, match="not stable"):
+        components(spark.createDataFrame([(k, k + 1) for k in range(20)], "a long, b long"), max_rounds=1)
+
+
 def test_bitmap_bound_never_rules_out_a_link():
     rng = np.random.default_rng(0)
     for _ in range(300):
