@@ -1,34 +1,48 @@
 """Operator 1: chroma audio fingerprints of a media column.
 
-A recording (16-bit mono WAV) is mixed to frames of energy in the twelve pitch
-classes. Sums over rectangles of that image come from its integral image; each of
-sixteen filters compares such sums and is quantised to two bits, so that a frame
-position gives one 32-bit integer. Two recordings are aligned at the offsets at
-which integers of theirs agree on either half of their bits; each such offset is
-judged by its share of wrong bits, and the best one is kept.
+A recording (16-bit WAV) is mixed to frames of energy in the twelve pitch classes.
+Sums over rectangles of that image come from its integral image; each of sixteen
+filters compares such sums and is quantised to two bits, so that a frame position
+gives one 32-bit integer. Two recordings are aligned by a histogram of offsets:
+wherever integers of theirs agree on either half of their bits, that offset gets a
+vote. Each offset with a vote is judged by its share of wrong bits, and the best
+one is kept.
+
+The search takes the queries in blocks of bounded size, each broadcast, and reads
+the table of fingerprints once for each. Votes are counted where a recording is
+read and never move, so a code that many recordings have, such as silence, is
+spread over all tasks; runs of one code vote as one interval of offsets.
 
 Defined results: null, empty and unreadable media have an empty fingerprint, as
-have recordings too short for one filter; repeated rows each get a row; an empty
-table gives an empty table.
+have recordings too short for one filter, and match nothing; repeated rows and ids
+each get a row, null ids are carried; among offsets of equal error the one nearest
+to 0 is kept, then the negative one; an empty table gives an empty table; other
+columns are not carried; a very long recording is worked on a few frames at a time,
+and makes a block of its own where it is a query.
 """
 
 from __future__ import annotations
 
+import functools
 import io
+import uuid
 import wave
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from .common import cuts, fresh_path, in_arrow, remove
 
 RATE, FRAME, HOP = 5512, 2048, 512
 #: Frequencies that count, from the A below the staff to the highest useful octave.
 LOW, HIGH = 110.0, 1760.0
 #: Frames that the widest filter spans.
 SPAN = 16
-#: (kind, first pitch class, number of classes, frames, lower, middle and upper threshold).
-#: Kinds: 0 whole, 1 upper against lower half, 2 first against second half, 3 checkerboard, 4 middle third in pitch, 5 middle third in time.
+#: (kind, first pitch class, number of classes, frames); all are quantised at QUANTILES.
+#: Kinds: 0 part against whole, 1 upper against lower half, 2 first against second half, 3 checkerboard, 4 middle third in pitch, 5 middle third in time.
 FILTERS = [
     (kind, first, height, width)
     for kind, first, height, width in (
@@ -36,11 +50,18 @@ FILTERS = [
         (4, 3, 9, 16), (5, 0, 6, 15), (5, 6, 6, 15), (1, 4, 4, 10), (2, 3, 4, 16), (3, 6, 6, 10), (0, 8, 4, 10), (4, 0, 12, 4),
     )
 ]
+#: Differences of logarithms that divide a filter's answers into four levels.
 QUANTILES = (-0.18, 0.0, 0.18)
+#: Frames that are transformed at a time.
+FRAMES = 16
 #: Recordings that a worker renders or reads at a time.
 MEDIA_ROWS = 64
 #: An integer votes for an offset by each of its disjoint groups of so many bits that agrees.
 VOTE_BITS = 16
+#: Integers of the queries of one block, where one query alone has no more.
+BLOCK_CODES = 250_000
+#: Pairs of integers that are compared at once.
+AT_ONCE = 50_000
 
 
 def decode_wav(raw: bytes | None) -> np.ndarray:
@@ -83,8 +104,10 @@ def chroma(x: np.ndarray) -> np.ndarray:
     if n < 1:
         return np.zeros((0, 12))
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP][:n]
-    power = np.abs(np.fft.rfft(frames * _taper, axis=1)[:, _use]) ** 2
-    energy = power @ _fold.T
+    energy = np.empty((n, 12))
+    for at in range(0, n, FRAMES):
+        part = np.fft.rfft(frames[at : at + FRAMES] * _taper, axis=1)[:, _use[0] : _use[-1] + 1]
+        energy[at : at + FRAMES] = (part.real**2 + part.imag**2) @ _fold.T
     padded = np.pad(energy, ((2, 2), (0, 0)), mode="edge")
     smooth = sum(w * padded[k : k + n] for k, w in enumerate((0.25, 0.75, 1.0, 0.75, 0.25)))
     norm = np.linalg.norm(smooth, axis=1, keepdims=True)
@@ -129,51 +152,177 @@ def fingerprint(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(media: DataFrame, id_col: str, wav_col: str) -> DataFrame:
-    """Per row: id, codes array<bigint>."""
-    base = media.select(F.col(id_col).alias("id"), F.col(wav_col).alias("wav"))
+def fingerprints(media: DataFrame, id_col: str, media_col: str, read=decode_wav) -> DataFrame:
+    """Per row: id, codes array<bigint>. ``read`` makes samples at RATE from a value of the media column."""
+    base = media.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{media_col}`").alias("media"))
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, MEDIA_ROWS):
                 part = batch.slice(at, MEDIA_ROWS)
-                codes = [fingerprint(decode_wav(w)).astype(np.int64) for w in part.column(1).to_pylist()]
+                codes = [fingerprint(read(v.as_py())).astype(np.int64) for v in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.list_(pa.int64()))], names=["id", "codes"])
 
     kind = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(run, f"id {kind}, codes array<bigint>")
+    return in_arrow(base, run, f"id {kind}, codes array<bigint>")
+
+
+def runs(codes: np.ndarray, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(value, first, end) of the runs of equal values of a group of bits."""
+    value = codes >> np.uint32(group * VOTE_BITS) & np.uint32((1 << VOTE_BITS) - 1)
+    first = np.nonzero(np.concatenate([[True], value[1:] != value[:-1]]))[0]
+    return value[first], first, np.append(first[1:], len(codes))
+
+
+def two_by_two(codes: np.ndarray) -> np.ndarray:
+    """Each integer with the one behind it."""
+    return codes[:-1].astype(np.uint64) | codes[1:].astype(np.uint64) << np.uint64(32)
+
+
+class Block:
+    """The queries of a block, ready to be met by any recording."""
+
+    def __init__(self, sizes: np.ndarray, codes: np.ndarray):
+        self.sizes, self.codes, self.twice = sizes.astype(np.int64), codes, two_by_two(codes)
+        self.start = np.cumsum(self.sizes) - self.sizes
+        self.groups = []
+        for g in range(32 // VOTE_BITS):
+            found = [(k, *runs(codes[a : a + n], g)) for k, (a, n) in enumerate(zip(self.start.tolist(), sizes.tolist()))]
+            value = np.concatenate([v for _, v, _, _ in found]).astype(np.int64)
+            owner = np.concatenate([np.full(len(v), k) for k, v, _, _ in found])
+            first, end = (np.concatenate([x[i] for x in found]) for i in (2, 3))
+            by = np.argsort(value, kind="stable")
+            index = np.searchsorted(value[by], np.arange((1 << VOTE_BITS) + 1))
+            self.groups.append((index, owner[by], first[by], end[by]))
+
+    def voted(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, offset) of the bins of the histogram that hold a vote of ``codes``."""
+        n = len(codes)
+        # the bins of a query: offsets 1 - size to n - 1, and one that ends the last
+        base = np.cumsum(self.sizes + n) - (self.sizes + n)
+        bins = np.zeros(int((self.sizes + n).sum()) + 1, np.int64)
+        for g, (index, owner, first, end) in enumerate(self.groups):
+            value, a, b = runs(codes, g)
+            count = index[value + 1] - index[value]
+            for x, y in cuts(count, AT_ONCE):
+                c = count[x:y]
+                own = np.repeat(np.arange(x, y), c)
+                hit = np.arange(len(own)) + np.repeat(index[value[x:y]] - (np.cumsum(c) - c), c)
+                # runs that agree give every offset from their farthest to their nearest ends
+                shift = base[owner[hit]] + self.sizes[owner[hit]] - 1
+                bins += np.bincount(shift + a[own] - (end[hit] - 1), minlength=len(bins))
+                bins -= np.bincount(shift + b[own] - first[hit], minlength=len(bins))
+        held = np.nonzero(np.cumsum(bins[:-1]) > 0)[0]
+        query = np.searchsorted(base, held, side="right") - 1
+        return query, held - base[query] - self.sizes[query] + 1
+
+    def matches(self, codes: np.ndarray, max_error: float, least_overlap: int):
+        """(query, offset, overlap, bit error) of the best offset of each query that matches ``codes``."""
+        n = len(codes)
+        query, offset = self.voted(codes)
+        first = np.maximum(0, -offset)
+        overlap = np.minimum(self.sizes[query] - first, n - offset - first)
+        ok = overlap >= least_overlap
+        query, offset, first, overlap = query[ok], offset[ok], first[ok], overlap[ok]
+        i, j = self.start[query] + first, first + offset
+        # of an odd overlap the last integers stand alone, the others are compared two at a time
+        last = overlap - 1
+        wrong = (overlap & 1) * np.bitwise_count(self.codes[i + last] ^ codes[j + last])
+        twice, size = two_by_two(codes), overlap // 2
+        for x, y in cuts(size, AT_ONCE):
+            ends = np.cumsum(size[x:y])
+            place = np.arange(int(ends[-1])) * 2
+            before = 2 * (ends - size[x:y])
+            mine = place + np.repeat(i[x:y] - before, size[x:y])
+            place += np.repeat(j[x:y] - before, size[x:y])
+            wrong[x:y] += np.add.reduceat(np.bitwise_count(self.twice[mine] ^ twice[place]), ends - size[x:y], dtype=np.int64)
+        error = wrong / (32.0 * overlap)
+        good = np.nonzero(error <= max_error)[0]
+        order = good[np.lexsort((offset[good], np.abs(offset[good]), error[good], query[good]))]
+        best = order[np.concatenate([[True], query[order][1:] != query[order][:-1]])] if len(order) else order
+        return query[best], offset[best], overlap[best], error[best]
 
 
 def align(queries: DataFrame, recordings: DataFrame, max_error: float = 0.25, least_overlap: int = 12) -> DataFrame:
-    """Alignments (query, id, offset, overlap, bit_error) of fingerprint tables, the best offset of each pair.
+    """Alignments (query, id, offset, overlap, bit_error) of fingerprint tables (id, codes): the best offset of each pair.
 
-    Every offset with a vote and enough overlap is judged. Codes of a pair are
-    fetched once, for all its offsets.
+    Every offset with a vote and enough overlap is judged. ``recordings`` is read
+    once for each block of queries.
     """
-    def spread(df, name):
-        placed = df.select(F.col("id").alias(name), F.size("codes").alias(f"n_{name}"), F.posexplode("codes").alias(f"at_{name}", "code"))
-        groups = [F.lit(k << VOTE_BITS) + F.shiftright("code", k * VOTE_BITS).bitwiseAND((1 << VOTE_BITS) - 1) for k in range(32 // VOTE_BITS)]
-        return placed.withColumn("vote", F.explode(F.array(*groups))).drop("code")
-
-    def shared(n_query, n_id, offset):
-        first = F.greatest(F.lit(0), -offset)
-        return first, F.least(n_query - first, n_id - offset - first)
-
-    votes = spread(queries, "query").join(spread(recordings, "id"), "vote").withColumn("offset", F.col("at_id") - F.col("at_query"))
-    votes = votes.where(shared(F.col("n_query"), F.col("n_id"), F.col("offset"))[1] >= least_overlap)
-    offsets = votes.groupBy("query", "id").agg(F.collect_set("offset").alias("offsets"))
-    both = offsets.join(queries.select(F.col("id").alias("query"), F.col("codes").alias("q")), "query").join(
-        recordings.select("id", F.col("codes").alias("r")), "id"
-    )
-
-    def judged(offset):
-        first, overlap = shared(F.size("q"), F.size("r"), offset)
-        x, y = F.slice("q", first + 1, overlap), F.slice("r", first + offset + 1, overlap)
-        wrong = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
-        return F.struct((wrong / (32.0 * overlap)).alias("bit_error"), F.abs(offset).alias("shift"), offset.alias("offset"), overlap.alias("overlap"))
-
-    best = both.select("query", "id", F.array_min(F.transform("offsets", judged)).alias("b"))
-    return best.where(F.col("b.bit_error") <= max_error).select("query", "id", "b.offset", "b.overlap", "b.bit_error")
+    spark = queries.sparkSession
+    types = [x.schema["id"].dataType for x in (queries, recordings)]
+    kinds, id_types = [t.simpleString() for t in types], [to_arrow_type(t) for t in types]
+    schema = f"query {kinds[0]}, id {kinds[1]}, offset int, overlap int, bit_error double"
+    asked = queries.select("id", "codes").where(F.size("codes") >= least_overlap)
+    n_codes = asked.agg(F.sum(F.size("codes"))).first()[0] or 0
+    n_blocks = int(n_codes // (BLOCK_CODES // 2)) + 1
+
+    def pack(batches):
+        # a task's queries in blocks; a block is a row, so that one is read at a time
+        ids, sizes, codes, held = [], [], [], 0
+
+        def block():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(id_type)), pa.array([np.array(sizes, "<i8").tobytes()], pa.binary()), pa.array([np.concatenate(codes).tobytes()], pa.binary())],
+                names=["name", "ids", "sizes", "codes"],
+            )
+
+        id_type = None
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for i, c in zip(batch.column(0), batch.column(1)):
+                own = c.values.to_numpy().astype("<u4")
+                if ids and held + len(own) > BLOCK_CODES:
+                    yield block()
+                    ids, sizes, codes, held = [], [], [], 0
+                ids.append(i.as_py())
+                sizes.append(len(own))
+                codes.append(own)
+                held += len(own)
+        if ids:
+            yield block()
+
+    path = fresh_path(spark, "queries")
+    in_arrow(asked.repartition(n_blocks), pack, f"name string, ids array<{kinds[0]}>, sizes binary, codes binary").write.parquet(path)
+    blocks = spark.read.parquet(path)
+    names = [r["name"] for r in blocks.select("name").collect()]  # one for each block
+    out = fresh_path(spark, "aligned")
+    spark.createDataFrame([], schema).write.parquet(out)
+    own = recordings.select("id", "codes").where(F.size("codes") >= least_overlap)
+    for name in names:
+        row = blocks.where(F.col("name") == name).first()  # BLOCK_CODES integers, or one recording's
+        shared = spark.sparkContext.broadcast((row["ids"], bytes(row["sizes"]), bytes(row["codes"])))
+
+        def search(batches, shared=shared):
+            ids, sizes, codes = shared.value
+            block = Block(np.frombuffer(sizes, "<i8"), np.frombuffer(codes, "<u4"))
+            for batch in batches:
+                for x in range(0, batch.num_rows, MEDIA_ROWS):
+                    part = batch.slice(x, MEDIA_ROWS)
+                    found = []
+                    for i, c in zip(part.column(0), part.column(1)):
+                        q, *rest = block.matches(c.values.to_numpy().astype(np.uint32), max_error, least_overlap)
+                        found.append((([ids[k] for k in q.tolist()]), [i.as_py()] * len(q), *rest))
+                    query, who = ([v for f in found for v in f[k]] for k in (0, 1))
+                    offset, overlap, error = (np.concatenate([f[k] for f in found]) for k in (2, 3, 4))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(query, id_types[0]), pa.array(who, id_types[1]), pa.array(offset.astype(np.int32)), pa.array(overlap.astype(np.int32)), pa.array(error)],
+                        names=["query", "id", "offset", "overlap", "bit_error"],
+                    )
+
+        in_arrow(own, search, schema).write.mode("append").parquet(out)
+        shared.unpersist()
+    remove(spark, path)
+    return spark.read.schema(schema).parquet(out)
+
+
+@functools.lru_cache(4)
+def tones(seconds: float) -> np.ndarray:
+    """A tone of 36 pitches each, three octaves from the C below the staff."""
+    t = np.arange(int(RATE * seconds)) / RATE
+    envelope = np.minimum(1, np.minimum(t, t[::-1]) * 50)
+    f = 130.81 * 2 ** (np.arange(36)[:, None] / 12)
+    return envelope * (0.5 * np.sin(2 * np.pi * f * t) + 0.2 * np.sin(4 * np.pi * f * t))
 
 
 def render(vector: list[float] | None, notes: int | None = None, seconds: float = 0.2) -> bytes | None:
@@ -182,20 +331,9 @@ def render(vector: list[float] | None, notes: int | None = None, seconds: float
         return None
     v = np.resize(np.nan_to_num(np.asarray(vector, np.float64)), notes or len(vector))
     pitch = np.floor(v * 97).astype(int) % 36  # v and -v never have one pitch class
-    t = np.arange(int(RATE * seconds)) / RATE
-    envelope = np.minimum(1, np.minimum(t, t[::-1]) * 50)
-    tones = [envelope * (0.5 * np.sin(2 * np.pi * f * t) + 0.2 * np.sin(4 * np.pi * f * t)) for f in 130.81 * 2 ** (pitch / 12)]
-    return encode_wav(np.concatenate(tones))
-
+    return encode_wav(tones(seconds)[pitch].ravel())
 
-def with_media(embeddings: DataFrame) -> DataFrame:
-    """``embeddings`` as (vec_id, wav)."""
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, MEDIA_ROWS):
-                part = batch.slice(at, MEDIA_ROWS)
-                wavs = [render(v) for v in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(wavs, pa.binary())], names=["vec_id", "wav"])
 
-    return embeddings.select(F.col("vec_id").cast("bigint"), "embedding").mapInArrow(run, "vec_id bigint, wav binary")
+def rendered(vector: list[float] | None) -> np.ndarray:
+    """Samples of the recording of a vector, through its WAV."""
+    return decode_wav(render(vector))

@@ -1,35 +1,73 @@
 """Shared plumbing of the training-data operators.
 
-Null handling everywhere: a null text counts as an empty text; a null id is
-carried through unchanged. Operators select the columns they need before they
-add their own, so extra columns with clashing names can't collide.
+Defined results everywhere: a null text counts as an empty one. Operators that
+look at each row by itself carry null and repeated ids through; those that relate
+rows tell them apart by ``with_row``. Columns are selected before any are added,
+so extra columns with clashing names can't collide. Texts may be as long as a
+record of Arrow can hold (2 GB); a worker takes one such text by itself.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Texts are handed to a worker function in slices of about this many characters.
-SLICE_CHARS = 4_000_000
+#: Texts are handed to a worker function in slices of about this many bytes.
+SLICE_BYTES = 500_000
 
 
-def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+def cuts(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of rows whose lengths add up to at most ``limit``, or one row."""
+    ends = np.cumsum(lengths)
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield start, end
+        start = end
+
+
+def slices(texts: list[str], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows that hold about ``limit`` characters each (one row at least)."""
-    start = total = 0
-    for i, t in enumerate(texts):
-        if total and total + len(t) > limit:
-            yield start, i
-            start, total = i, 0
-        total += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+    return cuts(np.fromiter(map(len, texts), np.int64, len(texts)), limit)
+
+
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, end, texts) of a column of an Arrow batch, only one slice of which is ever made into strings."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for a, b in cuts(lengths, limit):
+        yield a, b, [t or "" for t in column.slice(a, b - a).to_pylist()]
+
+
+def give_back() -> None:
+    """Return freed memory of a worker to the system: workers are reused, and the next operator's caches come on top."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def in_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)``, whose workers give freed memory back behind each partition."""
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def map_texts(
@@ -51,35 +89,46 @@ def map_texts(
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(keys)).to_pylist()]
-            for a, b in slices(texts):
-                made = fn(texts[a:b])
+            for a, b, texts in text_slices(batch.column(len(keys))):
+                made = fn(texts)
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keys))]
                 yield pa.RecordBatch.from_arrays(
                     cols + [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()],
                     names=[*keys, *made],
                 )
 
-    return base.mapInArrow(run, ddl)
-
-
-def as_struct_text(c: str) -> Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return in_arrow(base, run, ddl)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where the cluster names none (local tests) a local folder is used.
+    Only on one machine (a local master, as in tests) a local folder may take its place.
     """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        master = spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines share (master {master})")
         top = "file://" + os.path.join(tempfile.gettempdir(), "lemmata-shared")
     return top.rstrip("/")
 
 
+#: Folders written by this driver that a result may still read; they go when the driver ends.
+_written: list[tuple[SparkSession, str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lemmata-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lemmata-{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _written:
+        with contextlib.suppress(Exception):  # the session's JVM may be gone already
+            remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -96,6 +145,42 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: The column that ``numbered`` adds.
+ROW = "__row"
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with a column ROW: a bigint, unique, that ascends with the id.
+
+    It is the id itself where ids are integers, unique and not null. Else the rows
+    are numbered, in a table in the shared folder, by id (nulls last) and digest of
+    the text, so that equal and null ids have an order that doesn't change from run
+    to run, up to rows that are equal in both.
+    """
+    own = F.col(f"`{id_col}`")
+    if isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        unclear = docs.select(own.alias("id")).groupBy("id").count().where("id is null or count > 1")
+        if unclear.isEmpty():
+            return docs.withColumn(ROW, own.cast("bigint"))
+    place = [own.asc_nulls_last(), F.asc("__digest")]
+    digest = F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary"), 256)
+    ranged = docs.withColumn("__digest", digest).repartitionByRange(*place).sortWithinPartitions(*place)
+    # a partition's rows come in order, and monotonically increasing ids follow the partitions
+    return materialize(ranged.drop("__digest").withColumn(ROW, F.monotonically_increasing_id()), "ordered")
+
+
+def with_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` as (row, id, text), row as ``numbered`` has it."""
+    base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return numbered(base, "id").select(F.col(ROW).alias("row"), "id", "text")
+
+
+def is_id(docs: DataFrame) -> bool:
+    """Whether ``docs`` (row, id, ...) has its ids as rows."""
+    same = docs.schema["id"].dataType == docs.schema["row"].dataType
+    return same and docs.where("id is null or id <> row").isEmpty()
+
+
 def buckets(spark: SparkSession) -> int:
     return max(4, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

@@ -18,11 +18,11 @@ def op1_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of recordings rendered from every row of embeddings, searched for by every hundredth of them."""
     from pyspark.sql import functions as F
 
-    from .audio import align, fingerprints, with_media
+    from .audio import align, fingerprints, rendered
     from .common import materialize
 
     key = F.sha2(F.array_join(F.col("codes").cast("array<string>"), ",").cast("binary"), 256)
-    codes = fingerprints(with_media(read(spark, sf_dir, "embeddings")), "vec_id", "wav").withColumn("key", key)
+    codes = fingerprints(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", rendered).withColumn("key", key)
     codes = materialize(codes, "fingerprints")
     # equal fingerprints have equal answers: one of each takes part in the search
     asks = F.col("id") % 100 == 0

@@ -19,7 +19,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_texts
+from .common import in_arrow, map_texts, text_slices
 
 KINDS = ("assign", "access", "hex", "entropy")
 WORD = re.compile(r"password|passwd|secret|token|api_?key", re.I | re.A)
@@ -155,7 +155,9 @@ def mask_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            masked = pa.array([None if t is None else mask(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays([masked if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+            for a, b, texts in text_slices(batch.column(at)):
+                part = batch.slice(a, b - a)
+                masked = pa.array([mask(t) if ok else None for t, ok in zip(texts, part.column(at).is_valid().to_pylist())], batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays([masked if i == at else c for i, c in enumerate(part.columns)], schema=batch.schema)
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)

@@ -235,12 +235,41 @@ def plain_components(texts, n=5):
     return [(len(s), c) for s, c in zip(sets, own)]
 
 
-def test_jaccard_components(spark):
+@pytest.mark.parametrize("change", ["none", "lists of three", "shared signatures", "equal hashes"])
+def test_jaccard_components(spark, monkeypatch, change):
     texts = near_copies(random.Random(4))
+    if change == "lists of three":
+        monkeypatch.setattr(jaccard, "LIST_PART", 3)
+        monkeypatch.setattr(jaccard, "SHORT_LIST", 2)
+    elif change == "shared signatures":
+        whole = jaccard.digest
+        monkeypatch.setattr(jaccard, "digest", lambda s: (whole(s)[0] % 7, whole(s)[1]))
+    elif change == "equal hashes":  # of elements: only more candidates may come of them
+        whole_sets = jaccard.shingle_sets
+        monkeypatch.setattr(jaccard, "shingle_sets", lambda texts, n=5: [np.where(s % 9 == 0, s & np.uint64(~0xFFFFFFF000000000 & (2**64 - 1)), s) for s in whole_sets(texts, n)])
     got = rows(jaccard.jaccard_components(frame(spark, texts)))
     assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(texts))] == plain_components(texts)
 
 
+def test_words_settle_a_link():
+    rng = random.Random(11)
+    for _ in range(200):
+        a = [f"w{rng.randrange(30)}" for _ in range(rng.randrange(5, 60))]
+        b = list(a)
+        for _ in range(rng.randrange(0, 3)):
+            b[rng.randrange(len(b))] = "new"
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        assert jaccard.linked(" ".join(a), " ".join(b), 5, (3, 4)) == (100 * len(x & y) >= 75 * len(x | y))
+
+
+def test_null_and_repeated_ids_are_rows_of_their_own(spark):
+    texts = ["one two three four five six", "seven eight nine ten eleven twelve", "one two three four five six", None, "one two three four five six"]
+    docs = spark.createDataFrame(list(zip([4, 4, None, None, 2], texts, [1, 2, 3, 4, 5])), "doc_id long, text string, __id int")
+    got = sorted((r["doc_id"] or 99, r["n_shingles"], r["component_id"] or 99, r["is_first"]) for r in jaccard.jaccard_components(docs).collect())
+    assert got == [(2, 2, 2, True), (4, 2, 2, False), (4, 2, 4, True), (99, 0, 99, True), (99, 2, 2, False)]
+    assert sorted(r["__id"] for r in jaccard.keep_first(docs).collect()) == [2, 4, 5]
+
+
 def test_components_that_are_not_stable_raise(spark):
     from lemmata.llm.components import components
 
@@ -255,7 +284,9 @@ def test_bitmap_bound_never_rules_out_a_link():
         a, b = (np.unique(pool[rng.random(len(pool)) < 0.93]) for _ in "ab")
         o = len(np.intersect1d(a, b))
         if len(a) and len(b) and 7 * o >= 3 * (len(a) + len(b)):
-            assert jaccard.may_link(jaccard.bitmap(a), len(a), jaccard.bitmap(b), len(b), (3, 4))
+            small, large = sorted((a, b), key=lambda s: len(jaccard.bitmap(s)))
+            maps = [np.frombuffer(jaccard.bitmap(s), np.uint8)[None] for s in (small, large)]
+            assert jaccard.may_link(maps[0], np.array([len(small)]), maps[1], np.array([len(large)]), (3, 4)).all()
 
 
 def plain_repeats(texts, length=100):
