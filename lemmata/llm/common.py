@@ -58,8 +58,19 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: Bytes of an Arrow batch. The engine's default, 64 MB, is held several times at once by both sides of the pipe.
+BATCH_BYTES = 4_000_000
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def in_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
-    """``df.mapInArrow(fn, schema)``, whose workers give freed memory back behind each partition."""
+    """``df.mapInArrow(fn, schema)``, whose workers give freed memory back behind each partition.
+
+    Sets the session's size of Arrow batches to BATCH_BYTES where nobody has set it.
+    """
+    conf = df.sparkSession.conf
+    if _BATCH not in conf.getAll:
+        conf.set(_BATCH, BATCH_BYTES)
 
     def run(batches):
         try:

@@ -7,10 +7,12 @@ cut into aligned segments of bounded length:
 
 1. Every window of ``length`` bytes has a seed, the least hash among its 32-byte
    strings. Equal windows have equal seeds at equal places. Seeds go to buckets
-   with a hash of all bytes that any window around them can hold.
-2. Seeds met once are dropped. Of seeds with equal surroundings all but the first
-   repeat every window around them. Only the first of each kind is looked at
-   further, if its seed has other surroundings too.
+   by a digest of all bytes that any window around them can hold, so that no
+   bucket is hot because of a common seed; equal ones of a slice of texts are
+   folded before they move.
+2. Of seeds with equal surroundings all but the first repeat every window around
+   them. The first of each kind is looked at further if its seed has other
+   surroundings too.
 3. Those are the collection: one segment of 168 bytes each, aligned at the seed,
    in a table in the shared folder. A round inserts one symbol of each segment,
    from the last column to the first, and updates their order (the transform is
@@ -19,12 +21,15 @@ cut into aligned segments of bounded length:
 4. All windows but the first of equal ones give byte ranges, joined by document.
 
 Groups of over ``HOT`` segments are dealt out in parts; what stays unflagged in a
-part is compared across parts by a hash of each window.
+part is compared across parts. Within a part bytes are compared. Surroundings, and
+windows of different parts, are equal where 128 bits of their BLAKE2b digests are.
 
 Defined results: null texts have no bytes; texts shorter than ``length`` lose
-nothing; repeated documents lose all but the first; ids are expected to be
-unique integers (rows with a null id are dropped); an empty table gives an empty
-table.
+nothing; repeated documents lose all but the first; rows with a null or repeated id
+are documents of their own, behind those of smaller ids, null ids last, in order of
+their digests; what a task gathers of a document (places and ranges) is bounded by
+its length, and a text of any length is read in pieces; other columns are not
+carried; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -33,10 +38,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side
+from .common import in_arrow, materialize, small_side, with_row
 
 SEED = 32
 #: Segments of one seed that one task takes.
@@ -47,7 +53,7 @@ _rng = np.random.default_rng(20240601)
 SYMBOLS = _rng.integers(1, 1 << 63, 257, np.uint64) | np.uint64(1)
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
-ENTRY = np.dtype([("h", "<u4"), ("ctx", "<u8"), ("pos", "<u4"), ("doc", "<u2")])
+ENTRY = np.dtype([("h", "<u8"), ("c1", "<u8"), ("c2", "<u8"), ("pos", "<u4"), ("doc", "<u2")])
 DOC = np.dtype([("id", "<i8"), ("size", "<u4")])
 SPAN = np.dtype([("a", "<u4"), ("b", "<u4")])
 
@@ -73,18 +79,14 @@ def laid_out(texts: list[bytes], margin: int) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.array(starts, np.int64)
 
 
-def seeds(texts: list[bytes], length: int, ranges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, hash, hash of the surroundings) of each seed."""
+def seeds(texts: list[bytes], length: int, ranges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash) of each seed."""
     margin = length - SEED
     codes, starts = laid_out(texts, margin)
     h, step = SYMBOLS[codes], 1
-    hashes = {}
-    while step < 64:
+    while step < SEED:
         h = doubled(h, step)
         step *= 2
-        if step in (SEED, 64):
-            hashes[step] = h
-    h = hashes[SEED]
     # least of the strings that a window holds; the place in the low bits lets the leftmost win
     v = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
     span, m = 1, v
@@ -101,52 +103,83 @@ def seeds(texts: list[bytes], length: int, ranges: list[tuple[int, int]]) -> tup
     m = m[np.cumsum(valid[:-1]) > 0] & np.uint64((1 << 24) - 1)
     place = np.unique(m).astype(np.int64)
     text = np.searchsorted(starts, place, side="right") - 1
-    far, a = hashes[64], place - margin
-    total = margin + length
-    ctx = far[a] * C1 + far[a + (total - 128 if total < 128 + 64 else 64)]
-    ctx = (ctx ^ (ctx >> np.uint64(29))) * C2
-    for off in range(64, total - 64, 64):
-        ctx = (ctx + far[a + off]) * C1
-        ctx ^= ctx >> np.uint64(31)
-    ctx = (ctx + far[a + total - 64]) * C2
-    return text, place - starts[text], h[place], ctx ^ (ctx >> np.uint64(32))
+    return text, place - starts[text], h[place]
+
+
+def surroundings(texts: list[bytes], text: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """128-bit digests, as rows of two integers, of the bytes that windows around each seed can hold."""
+    margin, made = length - SEED, []
+    for k, p in zip(text.tolist(), place.tolist()):
+        a = p - margin if p > margin else 0
+        # the number of bytes before the seed tells where the text begins
+        made.append(hashlib.blake2b(texts[k][a : p + length], digest_size=16, salt=(p - a).to_bytes(2, "little")).digest())
+    return np.frombuffer(b"".join(made), "<u8").reshape(-1, 2)
+
+
+def split_repeats(c1, c2, doc, pos, size, length):
+    """Order of the entries; which begin a kind of surroundings; (doc, begin, end) of what the others repeat."""
+    margin = length - SEED
+    order = np.lexsort((pos, doc, c2, c1))
+    c1, c2, doc, pos, size = (x[order] for x in (c1, c2, doc, pos, size))
+    new = np.ones(len(c1), bool)
+    new[1:] = (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])
+    doc, pos, size = doc[~new], pos[~new].astype(np.int64), size[~new].astype(np.int64)
+    return order, new, (doc, np.maximum(pos - margin, 0), np.minimum(pos, size - length) + length)
+
+
+SEEDS = ["bucket", "docs", "entries", "id", "spans"]
+
+
+def span_rows(owners, spans, names, bucket=0):
+    """Batches of (owner, spans), other columns null."""
+    for at in range(0, len(owners), 50_000):
+        x = pa.array(np.asarray(owners[at : at + 50_000], np.int64))
+        cols = {"id": x, "spans": pa.array(spans[at : at + 50_000], pa.binary()), "bucket": pa.array(np.asarray(owners[at : at + 50_000], np.int64) % max(1, bucket), pa.int32())}
+        kinds = {"docs": pa.binary(), "entries": pa.binary(), "key": pa.int64(), "pos": pa.int32(), "w1": pa.int64(), "w2": pa.int64(), "start": pa.int32()}
+        yield pa.RecordBatch.from_arrays([cols[c] if c in cols else pa.nulls(len(x), kinds[c]) for c in names], names=names)
 
 
 def seed_entries(docs: DataFrame, n_buckets: int, length: int) -> DataFrame:
-    """``docs`` (id, raw) to packed seeds: (bucket, docs, entries)."""
+    """``docs`` (id, raw) to packed seeds (bucket, docs, entries), and to (bucket, id, spans) of repeats within a slice."""
 
     def run(batches):
-        names = ["bucket", "docs", "entries"]
         for batch in batches:
             ids, raws = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             at = 0
             while at < len(ids):
                 end, total = at, 0
-                while end < len(ids) and end - at < 60_000 and (end == at or total + len(raws[end] or b"") < 2_000_000):
-                    total += len(raws[end] or b"") + 80
+                while end < len(ids) and end - at < 60_000 and (end == at or total + len(raws[end]) < 2_000_000):
+                    total += len(raws[end]) + 80
                     end += 1
-                keep = [k for k in range(at, end) if raws[k] is not None and len(raws[k]) >= length]
+                keep = [k for k in range(at, end) if len(raws[k]) >= length]
                 at = end
                 for part_ids, part_raws, shifts, sizes, ranges in parts([ids[k] for k in keep], [raws[k] for k in keep], length):
-                    text, pos, h, ctx = seeds(part_raws, length, ranges)
-                    pos = pos + shifts[text]
-                    bucket = (h % np.uint64(n_buckets)).astype(np.int64)
-                    by = np.argsort(bucket, kind="stable")
-                    cuts = np.searchsorted(bucket[by], np.arange(n_buckets + 1))
-                    out = []
+                    text, place, h = seeds(part_raws, length, ranges)
+                    c = surroundings(part_raws, text, place, length)
                     own = np.empty(len(part_ids), DOC)
                     own["id"], own["size"] = part_ids, sizes
-                    for k in np.nonzero(np.diff(cuts))[0].tolist():
-                        i = by[cuts[k] : cuts[k + 1]]
+                    order, new, again = split_repeats(c[:, 0], c[:, 1], own["id"][text], place + shifts[text], own["size"][text], length)
+                    yield from span_rows(*merged_spans(*again), SEEDS, n_buckets)
+                    i = order[new]
+                    text, pos, h, c = text[i], (place + shifts[text])[i], h[i], c[i]
+                    bucket = (c[:, 0] % np.uint64(n_buckets)).astype(np.int64)
+                    by = np.argsort(bucket, kind="stable")
+                    edges = np.searchsorted(bucket[by], np.arange(n_buckets + 1))
+                    out = []
+                    for k in np.nonzero(np.diff(edges))[0].tolist():
+                        i = by[edges[k] : edges[k + 1]]
                         used, local = np.unique(text[i], return_inverse=True)
                         e = np.empty(len(i), ENTRY)
-                        e["h"], e["ctx"], e["pos"], e["doc"] = h[i] >> np.uint64(32), ctx[i], pos[i], local
+                        e["h"], e["c1"], e["c2"], e["pos"], e["doc"] = h[i], c[i, 0], c[i, 1], pos[i], local
                         out.append((k, own[used].tobytes(), e.tobytes()))
                     if out:
                         ks, ds, es = zip(*out)
-                        yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(ds, pa.binary()), pa.array(es, pa.binary())], names=names)
+                        none = pa.nulls(len(ks))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(ks, pa.int32()), pa.array(ds, pa.binary()), pa.array(es, pa.binary()), none.cast(pa.int64()), none.cast(pa.binary())], names=SEEDS
+                        )
 
-    return docs.mapInArrow(run, "bucket int, docs binary, entries binary")
+    return in_arrow(docs, run, "bucket int, docs binary, entries binary, id bigint, spans binary")
 
 
 #: A text of more bytes is read in pieces, so that places fit the low bits of the compared numbers.
@@ -194,59 +227,44 @@ def merged_spans(doc: np.ndarray, a: np.ndarray, b: np.ndarray):
     return owners[cut], [spans[x:y].tobytes() for x, y in zip(cut.tolist(), ends.tolist())]
 
 
-def repeats_of_bucket(h, ctx, doc, pos, size, length):
-    """Spans of seeds whose surroundings came before; and first seeds of groups with several surroundings."""
-    margin = length - SEED
-    order = np.lexsort((pos, doc, ctx, h))
-    h, ctx, doc, pos, size = h[order], ctx[order], doc[order], pos[order], size[order]
-    new_h = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-    new_c = new_h.copy()
-    new_c[1:] |= ctx[1:] != ctx[:-1]
-    again = ~new_c
-    lo = np.maximum(pos[again] - margin, 0)
-    hi = np.minimum(pos[again], size[again] - length) + length
-    group = np.cumsum(new_h) - 1
-    kinds = np.bincount(group, weights=new_c) if len(h) else np.zeros(0)
-    ask = new_c & (kinds[group] > 1) if len(h) else new_c
-    return (doc[again], lo, hi), (h[ask], doc[ask], pos[ask])
+FIRSTS = ["id", "spans", "key", "pos"]
 
 
 def first_repeats(entries: DataFrame, n_buckets: int, length: int) -> DataFrame:
-    """Mixed rows: (id, spans), and (id, key, pos): segments to compare."""
-    names = ["id", "spans", "key", "pos"]
+    """Mixed rows: (id, spans), and (id, key, pos): the first seed of each kind of surroundings, by the hash of the seed."""
 
-    def made(bucket, rows):
+    def made(rows):
         docs = [np.frombuffer(d, DOC) for d, _ in rows]
         es = [np.frombuffer(e, ENTRY) for _, e in rows]
-        h, ctx = np.concatenate([e["h"] for e in es]), np.concatenate([e["ctx"] for e in es])
-        doc = np.concatenate([d["id"][e["doc"]] for d, e in zip(docs, es)])
-        size = np.concatenate([d["size"][e["doc"]] for d, e in zip(docs, es)]).astype(np.int64)
-        pos = np.concatenate([e["pos"] for e in es]).astype(np.int64)
-        found, (kh, kd, kp) = repeats_of_bucket(h, ctx, doc, pos, size, length)
-        owners, spans = merged_spans(*found)
-        for at in range(0, len(owners), 50_000):
-            x = pa.array(owners[at : at + 50_000])
-            none = pa.nulls(len(x))
-            yield pa.RecordBatch.from_arrays([x, pa.array(spans[at : at + 50_000], pa.binary()), none.cast(pa.int64()), none.cast(pa.int32())], names=names)
-        for at in range(0, len(kh), 200_000):
-            cut = slice(at, at + 200_000)
-            key = (np.int64(bucket) << np.int64(32)) | kh[cut].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(kd[cut]), pa.nulls(len(key), pa.binary()), pa.array(key), pa.array(kp[cut].astype(np.int32))], names=names)
+        doc, size = (np.concatenate([d[k][e["doc"]] for d, e in zip(docs, es)]) for k in ("id", "size"))
+        h, c1, c2, pos = (np.concatenate([e[k] for e in es]) for k in ("h", "c1", "c2", "pos"))
+        order, new, again = split_repeats(c1, c2, doc, pos, size, length)
+        yield from span_rows(*merged_spans(*again), FIRSTS)
+        first = order[new]
+        for at in range(0, len(first), 200_000):
+            i = first[at : at + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.nulls(len(i), pa.binary()), pa.array(h[i].view(np.int64)), pa.array(pos[i].astype(np.int32))], names=FIRSTS)
 
     def run(batches):
         bucket, rows = None, []
         for batch in batches:
-            for k, d, e in zip(*(c.to_pylist() for c in batch.columns)):
+            own = batch.column(4).is_valid()
+            through = batch.filter(own)
+            if through.num_rows:  # repeats that were found before
+                none = pa.nulls(through.num_rows)
+                yield pa.RecordBatch.from_arrays([through.column(3), through.column(4), none.cast(pa.int64()), none.cast(pa.int32())], names=FIRSTS)
+            batch = batch.filter(pc.invert(own))
+            for k, d, e in ([batch.column(c)[i].as_py() for c in range(3)] for i in range(batch.num_rows)):
                 if k != bucket and rows:
-                    yield from made(bucket, rows)
+                    yield from made(rows)
                     rows = []
                 bucket = k
                 rows.append((d, e))
         if rows:
-            yield from made(bucket, rows)
+            yield from made(rows)
 
     dealt = entries.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "id bigint, spans binary, key bigint, pos int")
+    return in_arrow(dealt, run, "id bigint, spans binary, key bigint, pos int")
 
 
 def segments(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
@@ -272,7 +290,7 @@ def segments(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                         names=names,
                     )
 
-    return with_text.mapInArrow(run, "key bigint, part int, id bigint, pos int, size int, segment binary")
+    return in_arrow(with_text, run, "key bigint, part int, id bigint, pos int, size int, segment binary")
 
 
 def least_between(lcp: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -341,10 +359,10 @@ WINDOW_BATCH = 60_000
 
 
 def compare_segments(table: DataFrame, n_parts: int, length: int) -> DataFrame:
-    """Mixed rows: (id, spans), and for parted groups (id, whash, start): windows left unflagged."""
+    """Mixed rows: (id, spans), and for parted groups (id, w1, w2, start): windows left unflagged and their digests."""
     margin = length - SEED
     columns = margin + length
-    names = ["id", "spans", "whash", "start"]
+    names = ["id", "spans", "w1", "w2", "start"]
 
     def made(rows):
         key = np.array([r[0] for r in rows], np.int64)
@@ -368,15 +386,14 @@ def compare_segments(table: DataFrame, n_parts: int, length: int) -> DataFrame:
         ra, ca = np.nonzero(edge == 1)
         rb, cb = np.nonzero(edge == -1)
         owners, spans = merged_spans(doc[ra], pos[ra] - margin + ca, pos[rb] - margin + cb - 1 + length)
-        for at in range(0, len(owners), 50_000):
-            x = pa.array(owners[at : at + 50_000])
-            yield pa.RecordBatch.from_arrays([x, pa.array(spans[at : at + 50_000], pa.binary()), pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())], names=names)
+        yield from span_rows(owners, spans, names)
         left = np.argwhere(valid & ~hit & (part >= 0)[:, None])
         for at in range(0, len(left), WINDOW_BATCH):
             r, c = left[at : at + WINDOW_BATCH].T
             raw = symbols[r[:, None], c[:, None] + np.arange(length)].astype(np.uint8)
-            digest = [int.from_bytes(hashlib.blake2b(w.tobytes(), digest_size=8).digest(), "little", signed=True) for w in raw]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[r]), pa.nulls(len(r), pa.binary()), pa.array(digest, pa.int64()), pa.array((pos[r] - margin + c).astype(np.int32))], names=names)
+            digest = np.frombuffer(b"".join(hashlib.blake2b(w.tobytes(), digest_size=16).digest() for w in raw), "<i8").reshape(-1, 2)
+            own = [pa.array(doc[r]), pa.nulls(len(r), pa.binary()), *(pa.array(np.ascontiguousarray(digest[:, k])) for k in (0, 1))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array((pos[r] - margin + c).astype(np.int32))], names=names)
 
     def run(batches):
         # whole groups are gathered up to a bound, so that a round's arrays are long enough
@@ -394,7 +411,7 @@ def compare_segments(table: DataFrame, n_parts: int, length: int) -> DataFrame:
             yield from made(rows)
 
     dealt = table.repartition(n_parts, "key", "part").sortWithinPartitions("key", "part")
-    return dealt.mapInArrow(run, "id bigint, spans binary, whash bigint, start int")
+    return in_arrow(dealt, run, "id bigint, spans binary, w1 bigint, w2 bigint, start int")
 
 
 def removal_spans(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -402,7 +419,10 @@ def removal_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     n_bytes = docs.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     n_buckets = max(4, int(n_bytes / 36 / BUCKET_ENTRIES) + 1)
     found = materialize(first_repeats(seed_entries(docs, n_buckets, length), n_buckets, length), "repeats")
-    asks = found.where("key is not null").select("id", "key", "pos")
+    firsts = found.where("key is not null").select("id", "key", "pos")
+    # kinds of surroundings of each seed: counts are folded before they move, and a hot seed's rows can be split by the engine
+    kinds = firsts.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1").select("key")
+    asks = materialize(firsts.join(small_side(materialize(kinds, "kinds")), "key"), "firsts")
     many = asks.groupBy("key").count().where(F.col("count") > HOT).select("key", F.ceil(F.col("count") / HOT).cast("int").alias("n_parts"))
     asks = asks.join(small_side(materialize(many, "hot")), "key", "left").withColumn(
         "part", F.when(F.col("n_parts").isNull(), -1).otherwise(F.pmod(F.xxhash64("id", "pos"), F.col("n_parts")).cast("int"))
@@ -412,9 +432,9 @@ def removal_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     table = segments(docs, asked, length)
     compared = materialize(compare_segments(table, max(4, int(n_asks // 60_000) + 1), length), "compared")
     spans = found.where("spans is not null").select("id", "spans").unionByName(compared.where("spans is not null").select("id", "spans"))
-    windows = compared.where("whash is not null").select("id", "whash", "start")
-    least = windows.groupBy("whash").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    late = windows.join(least, "whash").where(F.struct("id", "start") > F.col("first")).select("id", "start")
+    windows = compared.where("w1 is not null").select("id", "w1", "w2", "start")
+    least = windows.groupBy("w1", "w2").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    late = windows.join(least, ["w1", "w2"]).where(F.struct("id", "start") > F.col("first")).select("id", "start")
     return spans.unionByName(late.select("id", pack_le(length).alias("spans"))) if not windows.isEmpty() else spans
 
 
@@ -436,33 +456,30 @@ def joined(spans: list[bytes]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), raw.alias("raw")).where("id is not null")
-
-
 def without_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, raw, kept (both binary) and spans array<struct<a, b>> of removed bytes."""
-    base = _base(docs, id_col, text_col)
-    spans = materialize(removal_spans(base, length).groupBy("id").agg(F.collect_list("spans").alias("spans")), "spans")
-    ids = small_side(spans.select("id"))
-    untouched = base.join(ids, "id", "left_anti").select("id", "raw", F.lit(None).cast("array<binary>").alias("spans"))
-    touched = base.join(ids, "id", "left_semi").join(spans, "id").select("id", "raw", "spans")
+    raw = F.coalesce("text", F.lit("")).cast("binary").alias("raw")
+    rows = with_row(docs, id_col, text_col).select(F.col("row").alias("place"), "id", raw)
+    base = rows.select(F.col("place").alias("id"), "raw")
+    spans = removal_spans(base, length).groupBy(F.col("id").alias("place")).agg(F.collect_list("spans").alias("spans"))
+    spans = materialize(spans, "spans")
+    places = small_side(spans.select("place"))
+    untouched = rows.join(places, "place", "left_anti").select("id", "raw", F.lit(None).cast("array<binary>").alias("spans"))
+    touched = rows.join(places, "place", "left_semi").join(spans, "place").select("id", "raw", "spans")
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            ids, raws, spans = (c.to_pylist() for c in batch.columns)
-            cuts = [joined(s or []) for s in spans]
+            raws, spans = (batch.column(c).to_pylist() for c in (1, 2))
+            gone = [joined(s or []) for s in spans]
             kept = []
-            for raw, cut in zip(raws, cuts):
+            for raw, cut in zip(raws, gone):
                 ends = [0, *(b for _, b in cut)]
                 kept.append(b"".join(raw[x:a] for x, a in zip(ends, [*(a for a, _ in cut), len(raw)])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(kept, pa.binary()), pa.array([[{"a": a, "b": b} for a, b in c] for c in cuts], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
-                names=["id", "raw", "kept", "spans"],
-            )
+            ranges = pa.array([[{"a": a, "b": b} for a, b in c] for c in gone], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.binary()), ranges], names=["id", "raw", "kept", "spans"])
 
-    return untouched.unionByName(touched).mapInArrow(run, "id bigint, raw binary, kept binary, spans array<struct<a: bigint, b: bigint>>")
+    return in_arrow(untouched.unionByName(touched), run, f"id {kind}, raw binary, kept binary, spans array<struct<a: bigint, b: bigint>>")
 
 
 def repeat_report(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

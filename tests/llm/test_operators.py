@@ -316,6 +316,18 @@ def test_repeats(spark, monkeypatch):
         assert [tuple(got[i][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for i in range(len(texts))] == plain_repeats(texts)
 
 
+def test_repeats_with_null_and_repeated_ids(spark):
+    rng = random.Random(9)
+    passage = words_doc(rng, 60, 9999)
+    texts = [f"{c} {passage} {c * 3}" for c in "abcde"] + [None]
+    ids = [3, None, 3, 1, None, None]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"] or 9, r["n_bytes"], r["n_removed"]) for r in suffix_dedup.repeat_report(docs).collect())
+    order = sorted(range(6), key=lambda i: (ids[i] is None, ids[i] or 0, hashlib.sha256((texts[i] or "").encode()).hexdigest()))
+    want = [(ids[i] or 9, n, gone) for i, (n, gone, *_) in zip(order, plain_repeats([texts[i] for i in order]))]
+    assert got == sorted(want)
+
+
 def test_seeds_of_pieces(monkeypatch):
     rng = random.Random(7)
     raw = words_doc(rng, 3000, 50).encode()
@@ -323,8 +335,9 @@ def test_seeds_of_pieces(monkeypatch):
     def found():
         out = set()
         for _, raws, shifts, _, ranges in suffix_dedup.parts([1], [raw], 100):
-            text, pos, h, ctx = suffix_dedup.seeds(raws, 100, ranges)
-            out |= set(zip((pos + shifts[text]).tolist(), h.tolist(), ctx.tolist()))
+            text, pos, h = suffix_dedup.seeds(raws, 100, ranges)
+            ctx = suffix_dedup.surroundings(raws, text, pos, 100)
+            out |= set(zip((pos + shifts[text]).tolist(), h.tolist(), ctx[:, 0].tolist(), ctx[:, 1].tolist()))
         return out
 
     whole = found()
