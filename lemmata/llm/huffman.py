@@ -10,9 +10,10 @@ Blocks are rows of Parquet files in ascending order of document ids, so the
 engine's committers make writing safe against lost tasks, and code lengths are a
 small table beside them.
 
-Defined results: null and empty texts hold the end id alone; repeated ids keep
-all their rows, in no fixed order among themselves; rows with a null id have no
-place in the order and are dropped; an empty table gives empty files.
+Defined results: null and empty texts hold the end id alone; rows with repeated
+ids come in order of their texts' digests, those with a null id behind all others;
+a document of more tokens than a block has one of its own; other columns are not
+carried; an empty table gives empty files.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import ODD_SPLIT
-from .common import Layered, Memo, fresh_path, slices
+from .common import Layered, Memo, fresh_path, in_arrow, is_id, remove, text_slices, with_row
 from .tokens import load
 
 #: Longest code, and so the width of the decoding table.
@@ -38,10 +39,10 @@ MAX_BITS = 18
 STRIDE = 256
 #: Tokens of a block, where one document alone has no more.
 BLOCK_TOKENS = 1_000_000
-#: Bytes of coded ids that one output file is meant to hold.
-FILE_BYTES = 16_000_000
-#: Files at most; beyond it they grow.
-MAX_FILES = 10_000
+#: Bytes of coded ids that one output file is meant to hold: so many while there are few files, and never more than the second.
+FILE_BYTES, MOST_FILE_BYTES = 16_000_000, 256_000_000
+#: Files up to this number are kept small; beyond it they grow, and then their number.
+FEW_FILES = 10_000
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -252,21 +253,20 @@ def library_coder(path: str, end_id: int) -> LibraryCoder:
 
 
 def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``docs`` under ``out``: folders blocks, parts and lengths."""
+    """Write ``docs`` under ``out``, in order of integer ids without nulls (``common.numbered`` gives such): folders blocks and lengths."""
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     coder = library_coder(path, end_id)
     n_vocab, small = len(coder.ends), coder.kind
 
     def to_ids(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
-                ids = library_coder(path, end_id).encode(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1), 2_000_000):
+                ids = library_coder(path, end_id).encode(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], names=["id", "ids"])
 
     at = fresh_path(spark, "ids")
-    base.mapInArrow(to_ids, "id bigint, ids binary").write.option("compression", "zstd").parquet(at)
+    in_arrow(base, to_ids, "id bigint, ids binary").write.option("compression", "zstd").parquet(at)
     ids = spark.read.schema("id bigint, ids binary").parquet(at)
 
     def tally(batches):
@@ -279,15 +279,16 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
         held = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], names=["token", "count"])
 
-    counted = ids.select("ids").mapInArrow(tally, "token int, count bigint").groupBy("token").agg(F.sum("count").alias("count")).toArrow()
+    counted = in_arrow(ids.select("ids"), tally, "token int, count bigint").groupBy("token").agg(F.sum("count").alias("count")).toArrow()
     counts = np.zeros(max(n_vocab, end_id + 1), np.int64)  # the vocabulary bounds what comes to the driver
     counts[counted["token"].to_numpy()] = counted["count"].to_numpy()
     lengths = code_lengths(counts)
     codes = canonical_codes(lengths)
     spark.createDataFrame(pa.table({"length": pa.array([lengths.tobytes()], pa.binary())})).write.parquet(f"{out}/lengths")
     shared = spark.sparkContext.broadcast((lengths, codes))
-    n_files = min(MAX_FILES, max(1, -(-int((counts * lengths).sum()) // 8 // FILE_BYTES)))
-    # Bounds of the files' id ranges from the ids alone; a range exchange would run the encoder twice to find them.
+    n_bytes = int((counts * lengths).sum()) // 8
+    n_files = max(1, min(FEW_FILES, -(-n_bytes // FILE_BYTES)), -(-n_bytes // MOST_FILE_BYTES))
+    # A number for each file is what the driver holds of the files here, and some ten while they are found. Bounds of the files' id ranges from the ids alone; a range exchange would run the encoder twice to find them.
     shares = [k / n_files for k in range(1, n_files)]
     bounds = np.unique(np.array(ids.select("id").approxQuantile("id", shares, 0.1 / n_files), np.float64)) if shares else np.zeros(0)
 
@@ -311,7 +312,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
                 )
                 begin = end
 
-    coded = ids.mapInArrow(to_bits, "part int, id bigint, n bigint, marks binary, bits binary")
+    coded = in_arrow(ids, to_bits, "part int, id bigint, n bigint, marks binary, bits binary")
     ordered = coded.repartitionById(n_files, "part").sortWithinPartitions("id")
 
     def to_blocks(batches):
@@ -350,9 +351,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
             yield block()
 
     schema = "part int, block int, offset bigint, n_tokens bigint, first_id bigint, ids binary, counts binary, marks binary, bits binary"
-    ordered.mapInArrow(to_blocks, schema).write.option("compression", "none").parquet(f"{out}/blocks")
-    from .common import remove
-
+    in_arrow(ordered, to_blocks, schema).write.option("compression", "none").parquet(f"{out}/blocks")
     remove(spark, at)
 
 
@@ -388,12 +387,16 @@ def _decoded(spark: SparkSession, path: str, column: str, make) -> DataFrame:
                         names=["id", "start", "n_tokens", name],
                     )
 
-    return blocks.select("part", "offset", "ids", "counts", "marks", "bits").mapInArrow(run, f"id bigint, start bigint, n_tokens bigint, {column}")
+    return in_arrow(blocks.select("part", "offset", "ids", "counts", "marks", "bits"), run, f"id bigint, start bigint, n_tokens bigint, {column}")
 
 
 def token_files(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files, read them back; per document: id, start, n_tokens and ids_crc32."""
     out = fresh_path(docs.sparkSession, "tokens")
-    write_tokens(docs, path, out, end_id, id_col, text_col)
+    rows = with_row(docs, id_col, text_col)
+    write_tokens(rows, path, out, end_id, "row", "text")
     crc = lambda arrays: pa.array([zlib.crc32(a.astype("<u4").tobytes()) for a in arrays], pa.int64())
-    return _decoded(docs.sparkSession, out, "ids_crc32 bigint", crc).withColumnRenamed("id", id_col)
+    read = _decoded(docs.sparkSession, out, "ids_crc32 bigint", crc).withColumnRenamed("id", "row")
+    ids = rows.select("row", "id")
+    read = read.withColumnRenamed("row", "id") if is_id(ids) else read.join(ids, "row")
+    return read.select(F.col("id").alias(id_col), "start", "n_tokens", "ids_crc32")

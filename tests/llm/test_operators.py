@@ -205,6 +205,22 @@ def test_contamination(spark):
     assert empty[0]["n_hit"] == 0
 
 
+def test_null_and_repeated_ids_in_contamination_and_files(spark, word_tok):
+    items = spark.createDataFrame([(1, "p q r s t u v w"), (2, "a b c"), (None, "x y z")], "item_id long, text string")
+    docs = spark.createDataFrame([(5, "a b c p q r s t u v w"), (5, "a b c"), (None, "x y z a b c"), (None, None), (2, "none")], "doc_id long, text string")
+    got = sorted((r["doc_id"] or 9, r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in decontaminate.contamination(docs, items).collect())
+    assert got == [(2, 1, 0, 0, False), (5, 3, 3, 1, False), (5, 11, 11, 2, True), (9, 0, 0, 0, False), (9, 6, 6, 1, False)]
+    assert sorted(r["doc_id"] or 9 for r in decontaminate.drop_contaminated(docs, items).collect()) == [2, 5, 9, 9]
+    got = [(r["start"], r["doc_id"], r["n_tokens"]) for r in huffman.token_files(docs, public_tokenizers.path("word_bpe_49k.json")).collect()]
+    place = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, hashlib.sha256((r["text"] or "").encode()).hexdigest())
+    at, want = 0, []
+    for r in sorted(docs.collect(), key=place):
+        n = len(word_tok.encode(r["text"] or "", add_special_tokens=False).ids) + 1
+        want.append((at, r["doc_id"], n))
+        at += n
+    assert sorted(got, key=lambda x: x[0]) == want
+
+
 def near_copies(rng):
     docs = []
     for _ in range(6):
