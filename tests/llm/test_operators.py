@@ -150,7 +150,7 @@ def test_main_text_of_an_unmarked_article_in_pieces():
     links = "<p><a href=a>A source of the article</a></p>"
     site, tail = "<div class=blurb><p>About us</p></div><nav>Menu</nav>", "<footer>F</footer><div class=blurb><p>Made by us</p></div>"
     pieces = [f"<h1>Title</h1><p>Intro {'x ' * 100}</p>", ad, body, links, ad, "<p>Short middle.</p>", ad, body, form, f"<p>Short end.</p>{links}"]
-    want = [html.lines_of(p)[0] for p in pieces if p not in (ad, form)]
+    want = [html.lines_of(p)[0].texts for p in pieces if p not in (ad, form)]
     want = [t for lines in want for t in lines if t]
     inner = "".join(pieces)
     assert html.main_text(f"<body>{site}<div class=text>{inner}</div>{tail}").split("\n") == want
@@ -160,6 +160,42 @@ def test_main_text_of_an_unmarked_article_in_pieces():
     assert bare == want[:-1]  # links before or behind the article are no part of it where nothing holds it together
 
 
+def test_no_page_is_lost_to_its_markup():
+    text = "A paragraph of real text that is long enough to be one of an article, and goes on."
+    for page in (
+        f"<html><head><title>T</title><body><article><p>{text}</p></article>",
+        f'<script>var a="<!-- x";</script><article><p>{text}</p></article>',
+        f"<!-- <script> --><article><p>{text}</p></article>",
+        f'<div class="layout has-sidebar"><article><p>{text}</p></article><div class=sidebar>Side</div></div>',
+        f'<div class="sidebar-right"><nav>Menu</nav><article><p>{text}</p></article><div class=sidebar>Side</div></div>',
+        f'<p class="ad">Buy<p>{text}',
+        f'<ul><li class="share">x<li>{text}</ul>',
+        f"<svg><p>{text}</p>",
+        f"<div>Home</div><div>About</div><div>Contact</div><p>{text}</p>",
+    ):
+        assert html.main_text(page) == text, page
+    assert html.main_text(f"<article><p>{text}<br>And <math><mi>x</mi></math> more</p></article>") == f"{text} And x more"
+    assert html.main_text(f"<article><p>{text}</p></article><div id=comments><article class=comment><p>{text * 9}</p></article></div>") == text
+    menu = "<div>Home</div><div>About</div><div>Contact</div>"
+    assert html.main_text(f"<body>{menu}<p>{text}</p><p>Short.</p><p>{text}</p><p>{text}</p>").split("\n") == [text, "Short.", text, text]
+
+
+def test_regions_are_windows_over_the_threshold():
+    rng = random.Random(13)
+    for _ in range(300):
+        w = np.array([rng.choice([0, 0, 5, 40, 200]) for _ in range(rng.randrange(1, 30))])
+        n = len(w)
+        sums = [int(w[i : i + 3].sum()) for i in range(n)]
+        level = max(1, min(80, max(sums) // 2))
+        full = [x >= level for x in sums]
+        held = [full[i] and (i + 1 == n or full[i + 1] or (i > 0 and full[i - 1])) for i in range(n)]
+        held = held if any(held) else full
+        lines = {j for i in range(n) if held[i] for j in range(i, min(n, i + 3)) if w[j]}
+        got = html.regions(w)
+        assert lines == {j for a, b in got for j in range(a, b) if w[j]} if w.any() else got == []
+        assert all(w[a] and w[b - 1] for a, b in got) and all(x[1] < y[0] for x, y in zip(got, got[1:]))
+
+
 def test_toxicity_learns_and_handles_odd_rows(spark):
     rng = random.Random(1)
     texts = [words_doc(rng, 40) + (" vileword" if i % 3 == 0 else "") for i in range(600)] + [None, ""]
