@@ -99,5 +99,21 @@ def is_meaningful(x: Column) -> Column:
     return t.contains("\n") | t.rlike(r"[=<>+*/^_]|->|\\(?:frac|sum|int|sqrt)") | t.rlike(r"\S\s+\S")
 
 
+#: Openings of answers in prose: a fixed pattern.
+PROSE_ANSWER = (
+    r"(?i)^(?:nothing\b|it\s|the\s+(?:expression|equation|instruction|formula|given|notation|request|text|image)|i\s|certainly|please|note\s|you\s|based\s"
+    r"|as\s+provided|this\s+(?:expression|equation|notation|text)|there\s+(?:is|are|was|were|might|seem)|sorry|unfortunately)"
+)
+#: Commands of document structure that no formula begins with: a fixed pattern.
+STRUCTURE = (
+    r"(?i)^\\(?:section|subsection|subsubsection|chapter|part|paragraph|subparagraph|newcommand|renewcommand|def|let|providecommand|begin\{document\}"
+    r"|end\{document\}|documentclass|usepackage|maketitle|label|ref|cite|bibliography|bibitem|footnote|caption)\b"
+)
+
+
 def is_refusal(x: Column) -> Column:
-    return x.rlike(r"(?i)^\s*(?:the image|this image|i cannot|i can't|i am unable|sorry|there is no|no equation|the equation)")
+    return F.trim(x).rlike(PROSE_ANSWER)
+
+
+def is_structural(x: Column) -> Column:
+    return F.trim(x).rlike(STRUCTURE)

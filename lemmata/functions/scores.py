@@ -188,12 +188,12 @@ def confidence_from_logprobs(logprobs: Column, uncertain: float = 0.4, normalise
 
 #: Checks of OCR quality: severity weights are error .40, warning .15, info .05.
 def ocr_checks(x: Column, high_text: float = 0.5) -> list[tuple[str, Column, float]]:
-    commands = n_of(x, r"\\(?!text\b)[a-zA-Z]+") > 0
+    commands = n_of(x, r"\\(?!text)[a-zA-Z]+") > 0
     ratio = n_of(x, TEXT_BLOCK) / F.greatest(n_of(x, ANY_TOKEN), F.lit(1))
     return [
         ("ALL_TEXT_NO_MATH", x.rlike(TEXT_BLOCK) & ~commands, 0.40),
         ("STARTS_WITH_EQUALS", x.rlike(r"^\s*="), 0.15),
-        ("REPEATED_OPERATOR", x.rlike(r"(?:\+\s*\+|-\s*-|\*\s*\*|=\s*=)"), 0.15),
+        ("REPEATED_OPERATOR", x.rlike(r"(?:^|[^\\a-zA-Z])[+\-*/]{2,}"), 0.15),
         ("DANGLING_OPERATOR", x.rlike(r"(?:\\times|\\cdot|\\div|\\pm|[+\-*/])\s*$"), 0.15),
         ("REPEATED_SYMBOL", x.rlike(r"(\\[a-zA-Z]+)\s*\1\s*\1"), 0.15),
         ("UNICODE_LEAKAGE", x.rlike(r"[×÷∑∏∫√≤≥≠≈∞∂∇]"), 0.05),

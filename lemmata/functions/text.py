@@ -112,27 +112,66 @@ def nesting(x: Column) -> Column:
     return F.aggregate(marks, start, step)["top"]
 
 
-#: Commands that are known without a table of their own.
-KNOWN = (
-    "alpha beta gamma delta epsilon theta lambda mu pi rho sigma tau phi omega frac dfrac tfrac cfrac sqrt sum int prod left right begin end text tag "
-    "quad qquad leq geq neq approx equiv cdot times div pm to rightarrow infty partial nabla sin cos tan log ln exp lim cdots ldots mathrm mathbf"
-).split()
+def known_commands() -> list[str]:
+    """Commands that count as known: fixed values, families of them by rule."""
+    greek = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi pi rho sigma tau upsilon phi chi psi omega".split()
+    variants = ["var" + g for g in "epsilon theta pi rho sigma phi".split()]
+    capitals = [g.capitalize() for g in "gamma delta theta lambda xi pi sigma upsilon phi psi omega".split()]
+    fractions = [p + "frac" for p in ("", "d", "t", "c")] + [p + "binom" for p in ("", "d", "t")]
+    sizes = [b + side for b in ("big", "Big", "bigg", "Bigg") for side in ("", "l", "r")]
+    ways = [w + "arrow" for w in ("left", "right", "Left", "Right", "leftright", "Leftright", "longleft", "longright", "Longleft", "Longright", "xleft", "xright")]
+    functions = "lim inf sup max min sin cos tan cot sec csc log ln exp det dim ker gcd hom arg deg Pr sinh cosh tanh"
+    operators = (
+        "sqrt sum prod int oint iint iiint left right partial nabla infty pm mp times div cdot cdots ldots vdots ddots ast star circ bullet dagger ddagger "
+        "oplus ominus otimes oslash odot boxplus over above atop choose underset overset stackrel pmod bmod limits nolimits mathop"
+    )
+    relations = (
+        "leq geq neq approx sim simeq cong equiv propto ll gg subset supset subseteq supseteq in notin cup cap wedge vee neg forall exists to mapsto "
+        "rightleftharpoons leftrightarrows perp parallel nmid mid not ne le ge therefore because"
+    )
+    accents = "hat bar dot ddot tilde vec overline underline overbrace underbrace widehat widetilde overrightarrow"
+    styles = (
+        "text mathrm mathit mathbf mathsf mathbb mathcal mathfrak boldsymbol operatorname mbox begin end label ref tag notag quad qquad hspace vspace space "
+        "enspace displaystyle textstyle scriptstyle scriptscriptstyle"
+    )
+    symbols = (
+        "angle measuredangle vert Vert langle rangle lfloor rfloor lceil rceil Re Im wp ell hbar imath jmath triangle square lozenge clubsuit diamondsuit "
+        "heartsuit spadesuit sharp flat natural checkmark maltese qed"
+    )
+    words = " ".join((functions, operators, relations, accents, styles, symbols)).split()
+    return greek + variants + capitals + fractions + sizes + ways + words
+
+
+KNOWN = known_commands()
+#: A fraction whose arguments are the marks of whole groups; a group that holds another fraction; any innermost group.
+GOOD_FRACTION, BAD_GROUP, GROUP = "\\\\(?:d|t|c)?frac *\x01 *\x01", r"\{[^{}]*\\(?:d|t|c)?frac[^{}]*\}", r"\{[^{}]*\}"
+FRACTION = r"\\(?:d|t|c)?frac"
+#: A script mark without braces, command, letter or digit behind it.
+BARE_SCRIPT = r"[_^] *(?:\z|[^ {\\\p{L}\p{N}])"
+LEFT, RIGHT = r"\\left\s*(?:[({\[|.]|\\[a-zA-Z]+)", r"\\right\s*(?:[)}\[|.]|\\[a-zA-Z]+)"
+
+
+def fractions_complete(x: Column) -> Column:
+    """Every fraction has two groups in braces behind it: groups become marks from the innermost out, and complete fractions go."""
+    def step(t, _):
+        t = F.regexp_replace(t, GOOD_FRACTION, "")
+        return F.regexp_replace(F.regexp_replace(t, BAD_GROUP, "\x02"), GROUP, "\x01")
+
+    left = F.regexp_replace(F.aggregate(F.sequence(F.lit(0), nesting(x)), x, step), GOOD_FRACTION, "")
+    return F.when(x.contains("frac"), ~left.contains("\x02") & ~left.rlike(FRACTION)).otherwise(True)
 
 
 def syntax_checks(x: Column, deepest: int = 12, known: list[str] = KNOWN) -> dict[str, Column]:
     n = lambda p: F.regexp_count(x, F.lit(p))
     names = lambda p: F.regexp_extract_all(x, F.lit(p), F.lit(1))
-    fractions = n(r"\\(?:d|t|c)?frac(?![a-zA-Z])")
-    # an argument: one token, or braces up to two levels deep
-    arg = r"\s*(?:\{(?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*\}|\\[a-zA-Z]+|[^\s{}])"
     return {
         "balanced_braces": balanced(x, "{", "}"),
         "balanced_brackets": balanced(x, "[", "]"),
         "balanced_parens": balanced(x, "(", ")"),
-        "left_right_matched": n(r"\\left\s*(?:[({\[|.]|\\[a-zA-Z]+)") == n(r"\\right\s*(?:[)}\]|.]|\\[a-zA-Z]+)"),
+        "left_right_matched": n(LEFT) == n(RIGHT),
         "environments_closed": names(r"\\begin\{([^}]+)\}") == names(r"\\end\{([^}]+)\}"),
-        "frac_has_two_args": fractions == n(rf"\\(?:d|t|c)?frac(?![a-zA-Z]){arg}{arg}"),
-        "scripts_have_args": n(r"[_^]\s*(?:$|[_^}])") == 0,
+        "frac_has_two_args": fractions_complete(x),
+        "scripts_have_args": ~x.rlike(BARE_SCRIPT),
         "commands_are_known": F.size(F.array_except(names(r"\\([a-zA-Z]+)"), F.array(*map(F.lit, known)))) == 0,
         "depth_within_limit": nesting(x) <= deepest,
     }

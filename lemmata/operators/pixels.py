@@ -53,21 +53,24 @@ def metrics(gray: np.ndarray) -> dict[str, float]:
     return {"ink": share, "blank": share < 0.002, "sliver": gray.shape[0] < 40, "clipped": max(edges) > 0.10, "sharpness": sharp}
 
 
-def layout_confidence(gray: np.ndarray, dpi: int, padding: float = 1.0) -> float | None:
-    """One less penalties for dark borders, low resolution, odd shapes and white bands; none without pixels."""
+def layout_confidence(gray: np.ndarray, dpi: float | None) -> float | None:
+    """One less penalties for ink in the border strips, low resolution, odd shapes and white bands above ink, times the padding; none without pixels."""
     if not gray.size:
         return None
     h, w = gray.shape
-    dark = gray < DARK
-    score = 1.0 - sum(p for p, e in ((0.25, dark[0]), (0.25, dark[-1]), (0.10, dark[:, 0]), (0.10, dark[:, -1])) if e.mean() > 0.05)
-    if dpi < 150:
-        score -= 0.30 * (150 - max(dpi, 72)) / 78
+    strip, bright, band, padding = 3, 240, 8, 8.0
+    margins = {"left": gray[:, :strip].mean(), "right": gray[:, -strip:].mean(), "top": gray[:strip].mean(), "bottom": gray[-strip:].mean()}
+    score = 1.0 - sum({"left": 0.25, "right": 0.25, "top": 0.10, "bottom": 0.10}[k] for k, m in margins.items() if m < bright)
+    if dpi is not None and dpi < 72:
+        score = min(score, 0.20)
+    elif dpi is not None and dpi < 150:
+        score -= (1.0 - dpi / 150) * 0.30
     ratio = w / h
     score -= 0.15 if ratio < 1.5 else 0.10 if ratio > 20 else 0.0
-    inner = [(a, b) for a, b in runs(~dark.any(axis=1)) if a > 0 and b < h]
-    score -= 0.35 if any(b - a >= 8 for a, b in inner) else 0.0
-    score *= padding
-    return max(0.0, min(0.20 if dpi < 72 else 1.0, score))
+    white = runs(gray.mean(axis=1) > bright)
+    score -= 0.35 if any(b - a >= band and b < h for a, b in white) else 0.0
+    score *= min(min(margins.values()) / 255.0 * strip / padding, 1.0)
+    return max(0.0, min(1.0, score))
 
 
 def skew_to_angle(reported: float) -> float:
@@ -79,15 +82,18 @@ def crop_quality(crops: DataFrame, gray: str = "gray", dpi: str = "dpi") -> Data
     """``crops`` with metrics, layout confidence and the number of stacked parts, in Arrow batches."""
     out = "ink double, blank boolean, sliver boolean, clipped boolean, sharpness double, layout double, n_parts int"
 
-    @F.pandas_udf(out)
-    def measure(rows: pd.Series, d: pd.Series) -> pd.DataFrame:
-        made = []
-        for r, x in zip(rows, d):
-            g = matrix(r)
-            made.append(metrics(g) | {"layout": layout_confidence(g, int(x)), "n_parts": len(split_stacked(g)) if g.size else 0})
-        return pd.DataFrame(made, columns=[c.split()[0] for c in out.split(", ")])
+    kept = [c for c in crops.columns if c != gray]
 
-    return crops.withColumn("m", measure(gray, dpi)).select(*[c for c in crops.columns if c != gray], "m.*")
+    def run(frames):
+        for f in frames:
+            made = []
+            for r, x in zip(f[gray], f[dpi]):
+                g = matrix(r)
+                made.append(metrics(g) | {"layout": layout_confidence(g, x), "n_parts": len(split_stacked(g)) if g.size else 0})
+            yield pd.concat([f[kept].reset_index(drop=True), pd.DataFrame(made, columns=[c.split()[0] for c in out.split(", ")])], axis=1)
+
+    same = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in crops.schema.fields if x.name != gray)
+    return crops.mapInPandas(run, f"{same}, {out}")
 
 
 def ink_bands(rows: DataFrame, keys: list[str], least: float) -> DataFrame:

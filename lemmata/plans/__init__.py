@@ -1,4 +1,4 @@
 """All queries of the engine, by name."""
 
-from . import content, generic, labels_and_latex, layout, records, regions  # noqa: F401
+from . import classification, content, generic, labels_and_latex, layout, records, regions, review  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

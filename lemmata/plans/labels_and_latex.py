@@ -286,12 +286,27 @@ def _(v):
     return t.select("vec_id", S.confidence_from_logprobs(C("l")).alias("confidence"))
 
 
-@query("ocr_quality")
+SQL_OCR = r""", t AS (SELECT doc_id, seq, latex, regexp_extract_all(latex, '\\[a-zA-Z]+|\S') AS toks, regexp_extract_all(latex, '\\text\{[^}]*\}') AS blocks FROM v_equation),
+    u AS (SELECT *, len(list_filter(regexp_extract_all(latex, '\\[a-zA-Z]+'), lambda x: NOT starts_with(x, '\text'))) > 0 AS commands, len(blocks) / greatest(len(toks), 1) AS ratio FROM t),
+    k AS (SELECT doc_id, seq, latex, [CASE WHEN len(blocks) > 0 AND NOT commands THEN 'ALL_TEXT_NO_MATH' END, CASE WHEN regexp_matches(latex, '^\s*=') THEN 'STARTS_WITH_EQUALS' END,
+      CASE WHEN regexp_matches(latex, '(?:^|[^\\a-zA-Z])[+\-*/]{2,}') THEN 'REPEATED_OPERATOR' END, CASE WHEN regexp_matches(latex, '(?:\\times|\\cdot|\\div|\\pm|[+\-*/])\s*$') THEN 'DANGLING_OPERATOR' END,
+      CASE WHEN len(list_filter(range(1, len(toks) - 1), lambda i: toks[i] = toks[i + 1] AND toks[i] = toks[i + 2] AND regexp_matches(toks[i], '^\\[a-zA-Z]'))) > 0 THEN 'REPEATED_SYMBOL' END,
+      CASE WHEN regexp_matches(latex, '[×÷∑∏∫√≤≥≠≈∞∂∇]') THEN 'UNICODE_LEAKAGE' END, CASE WHEN regexp_matches(latex, '^\s*[\d.,]+\s*$') THEN 'ISOLATED_NUMBER' END,
+      CASE WHEN regexp_matches(latex, '(\\cdots|\\ldots)\s*$') THEN 'INCOMPLETE_EXPRESSION' END, CASE WHEN ratio > 0.5 THEN 'HIGH_TEXT_RATIO' END,
+      CASE WHEN NOT commands AND NOT regexp_matches(latex, '[=<>+\-*/^_]') THEN 'NO_MATH_COMMANDS' END] AS fired FROM u),
+    e AS (SELECT doc_id, seq, latex, unnest(list_filter(fired, lambda x: x IS NOT NULL)) AS "check" FROM k WHERE trim(latex) <> '')"""
+
+
+@query(
+    "ocr_quality", "v_equation",
+    SQL_OCR + """, c AS (SELECT doc_id, seq, sum(CASE "check" WHEN 'ALL_TEXT_NO_MATH' THEN 0.4 WHEN 'UNICODE_LEAKAGE' THEN 0.05 WHEN 'ISOLATED_NUMBER' THEN 0.05 ELSE 0.15 END) AS lost FROM e GROUP BY ALL)
+    SELECT k.doc_id, k.seq, CAST(CASE WHEN trim(latex) = '' THEN 0.0 ELSE round(greatest(0.0, 1.0 - coalesce(lost, 0.0)), 6) END AS DOUBLE) AS score FROM k LEFT JOIN c ON k.doc_id = c.doc_id AND k.seq = c.seq""",
+)
 def _(v):
     return v.v_equation.select(*KEY, F.round(S.ocr_quality(C("latex")), 6).alias("score"))
 
 
-@query("ocr_quality_checks")
+@query("ocr_quality_checks", "v_equation", SQL_OCR + """ SELECT "check", count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM e GROUP BY 1""")
 def _(v):
     fired = F.array(*[F.when(c, F.lit(n)) for n, c, _ in S.ocr_checks(C("latex"))])
     t = v.v_equation.where("trim(latex) <> ''").select(*KEY, F.explode(F.filter(fired, lambda x: x.isNotNull())).alias("check"))

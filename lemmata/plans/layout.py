@@ -210,21 +210,6 @@ def _(v):
     return t.where("image_count >= 6 AND content > 0 AND dense / content >= 0.3").select("doc_id", "page_no")
 
 
-@query(
-    "document_signals", "v_page v_box",
-    """, p AS (SELECT doc_id, bool_or(has_real_fonts) AS any_text_layer, avg(word_count) AS mean_words, round(avg(image_coverage), 6) AS mean_coverage FROM v_page GROUP BY doc_id),
-    b AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_formula, count(*) FILTER (kind = 1) AS n_table, count(*) FILTER (kind = 2) AS n_figure FROM v_box GROUP BY doc_id)
-    SELECT p.*, n_formula, n_table, n_figure, CASE WHEN greatest(n_formula, n_table, n_figure) / (n_formula + n_table + n_figure + 1) >= 0.35 THEN 'complex' WHEN greatest(n_formula, n_table, n_figure) / (n_formula + n_table + n_figure + 1) >= 0.15 THEN 'moderate' ELSE 'simple' END AS complexity
-    FROM p JOIN b ON p.doc_id = b.doc_id""",
-)
-def _(v):
-    p = v.v_page.groupBy("doc_id").agg(F.bool_or("has_real_fonts").alias("any_text_layer"), F.avg("word_count").alias("mean_words"), F.round(F.avg("image_coverage"), 6).alias("mean_coverage"))
-    b = v.v_box.groupBy("doc_id").agg(*[F.count_if(C("kind") == k).alias(f"n_{n}") for k, n in enumerate(("formula", "table", "figure"))])
-    t = p.join(b, "doc_id")
-    density = F.greatest("n_formula", "n_table", "n_figure") / (C("n_formula") + C("n_table") + C("n_figure") + 1)
-    return t.withColumn("complexity", D.complexity(density))
-
-
 @query(
     "document_columns", "v_box",
     """, c AS (SELECT doc_id, page_no, count(*) AS n, count(*) FILTER ((x0 + x1) / 2 < 306) AS l FROM v_box GROUP BY ALL) SELECT doc_id, page_no, CAST(CASE WHEN n >= 4 AND least(l, n - l) / n >= 0.25 THEN 2 ELSE 1 END AS INT) AS columns FROM c""",
@@ -234,21 +219,6 @@ def _(v):
     return t.select(*G.PAGE, F.when((C("n") >= 4) & (F.least(C("l"), C("n") - C("l")) / C("n") >= 0.25), 2).otherwise(1).alias("columns"))
 
 
-TAXONOMY = "(VALUES ('textbook', 'the'), ('report', 'and'), ('manual', 'for'), ('paper', 'with')) AS x(category, word)"
-
-
-@query(
-    "document_category", "",
-    f""", h AS (SELECT doc_id, category, 2.5 * (len(regexp_extract_all(lower(substring(text, 1, 200)), concat('\\b', word, '\\b'))) + 0.1) AS raw FROM documents, {TAXONOMY}),
-    s AS (SELECT *, raw / sum(raw) OVER (PARTITION BY doc_id) AS share FROM h),
-    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY share DESC, category) AS rn, share - coalesce(lead(share) OVER (PARTITION BY doc_id ORDER BY share DESC, category), 0) AS margin FROM s)
-    SELECT doc_id, CASE WHEN share < 0.5 OR margin < 0.1 THEN 'unknown' ELSE category END AS category, CASE WHEN share < 0.5 THEN 'below_threshold' WHEN margin < 0.1 THEN 'ambiguous' ELSE 'selected' END AS reason FROM r WHERE rn = 1""".replace(", h AS", "WITH h AS", 1),
-)
-def _(v):
-    words = [("textbook", "the"), ("report", "and"), ("manual", "for"), ("paper", "with")]
-    return D.select_category(v.documents.select("doc_id", F.lower(F.substring("text", 1, 200)).alias("sample")), words)
-
-
 @query("even_page_sample", "v_page", ", n AS (SELECT doc_id, count(*) + 18 AS n FROM v_page GROUP BY doc_id) SELECT doc_id, CAST(unnest(CASE WHEN n <= 10 THEN range(0, n) ELSE list_transform(range(0, 10), lambda i: i * n // 10) END) AS BIGINT) AS page FROM n")
 def _(v):
     n = v.v_page.groupBy("doc_id").agg((F.count("*") + 18).alias("n"))

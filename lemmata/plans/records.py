@@ -196,7 +196,8 @@ def _(v):
 
 @query(
     "invalid_parents", "v_box",
-    "SELECT a.doc_id, a.page_no, a.box_seq FROM v_box a LEFT JOIN v_box b ON a.doc_id = b.doc_id AND a.page_no = b.page_no AND b.box_seq = a.box_seq + 3 - 5 * (a.kind % 2) WHERE b.box_seq IS NULL",
+    """, a AS MATERIALIZED (SELECT doc_id, page_no, box_seq, box_seq + 3 - 5 * (kind % 2) AS parent FROM v_box)
+    SELECT a.doc_id, a.page_no, a.box_seq FROM a ANTI JOIN (SELECT doc_id, page_no, box_seq AS parent FROM a) b ON a.doc_id = b.doc_id AND a.page_no = b.page_no AND a.parent = b.parent""",
 )
 def _(v):
     a = v.v_box.select("doc_id", "page_no", "box_seq", (C("box_seq") + 3 - 5 * (C("kind") % 2)).alias("parent"))
