@@ -6,8 +6,11 @@ entropy is kept up to date by adding one count and dropping one per step, with a
 limit for each character class. A candidate with a window that reaches its limit
 is a span as a whole. An allow list suppresses candidates only, never base spans.
 
-Defined results: null and empty texts have no spans; repeated rows each get a
-row; an empty table gives an empty table.
+Defined results: null and empty texts have no spans; repeated rows and ids each get
+a row, null ids are carried; spans that begin at one place are ordered by kind, then
+end, and may overlap; texts are scanned whole at any length; ``mask_secrets`` carries
+other columns and keeps null texts, ``scan_secrets`` carries none; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ ALLOW = tuple(
         rf"{NAME}(?:[-_/]{NAME})*",  # words joined by dashes
         r"[-=_+/]+",  # rules
         r"[0-9]{1,15}(?:[-/][0-9]{1,15})*",  # dates, numbers in parts
-        r"(?:example|sample|dummy|placeholder|changeme|xxxx).*",
+        rf"(?i:example|sample|dummy|placeholder|changeme|your|x{{4,}})(?:[-_/=](?:{NAME}|[xX]+|[0-9]{{1,6}}))*",  # stand-ins, in words
     )
 )
 

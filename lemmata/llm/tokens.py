@@ -2,13 +2,16 @@
 
 Tier one is a compact hash table of frequent pre-token lengths, built once on
 the driver from the vocabulary (so its size is bounded by the vocabulary, not
-by the data) and broadcast as two arrays and a blob. Tier two is a worker cache
-of space-delimited pieces; what it lacks is cut into pre-tokens, looked up in
-tier one, and only then encoded by the tokenizer. No pre-token is shuffled.
-
-Defined results: null and empty texts have 0 bytes and 0 tokens; special
-strings inside a text count as the tokenizer's default has it; repeated rows
-each get a row; an empty table gives an empty table.
+by the data) and broadcast as arrays: open addressing by a 64-bit hash, and the
+keys themselves to settle it. The space-delimited pieces of a slice of texts are
+looked up there side by side. What the table lacks goes to the worker's cache, and
+what that lacks is cut into pre-tokens and encoded by the tokenizer. No pre-token
+is shuffled.
+
+Defined results: null and empty texts have 0 bytes and 0 tokens; special strings
+inside a text count as the tokenizer's default has it; repeated rows and ids each
+get a row, null ids are carried; texts are read whole at any length; other columns
+are not carried; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -18,11 +21,12 @@ import re
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_symbols
-from .common import Memo, map_texts
+from .common import Layered, Memo, map_texts
 
 #: Entries of the broadcast table, at most.
 TABLE_ENTRIES = 50_000
@@ -46,18 +50,48 @@ def load(path: str):
 
 
 class LengthTable:
-    """Open addressing over 64-bit hashes; the keys themselves settle collisions."""
+    """Token counts of keys by open addressing over 64-bit hashes; the keys themselves settle collisions."""
 
     def __init__(self, keys: list[str], lengths: list[int]):
         raw = [k.encode() for k in keys]
-        self.ends = np.cumsum([0, *map(len, raw)]).astype(np.uint32)
         self.blob = b"".join(raw)
-        self.lengths = np.array(lengths, np.uint8)
-
-    def mapping(self) -> dict[str, int]:
-        """The hash table as a worker uses it."""
-        at, blob = self.ends.tolist(), self.blob
-        return {blob[a:b].decode(): n for a, b, n in zip(at, at[1:], self.lengths.tolist())}
+        size = 1 << max(4, (2 * len(raw)).bit_length())
+        self.hashes = np.zeros(size, np.uint64)
+        self.ends = np.zeros(size, np.uint32)
+        self.sizes = np.zeros(size, np.uint16)
+        self.lengths = np.zeros(size, np.uint8)  # 0: an empty slot
+        at = 0
+        for k, n in zip(raw, lengths):
+            h = xxhash.xxh3_64_intdigest(k)
+            slot = h & (size - 1)
+            while self.lengths[slot]:
+                slot = (slot + 1) & (size - 1)
+            at += len(k)
+            self.hashes[slot], self.ends[slot], self.sizes[slot], self.lengths[slot] = h, at, len(k), n
+        self.n = len(raw)
+
+    def find(self, keys: list[bytes]) -> list[int]:
+        """The token count of each key, 0 where the table lacks it."""
+        mask = np.uint64(len(self.hashes) - 1)
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
+        slot = h & mask
+        out = np.zeros(len(keys), np.int64)
+        live = np.arange(len(keys))
+        blob = self.blob
+        while len(live):
+            s = slot[live]
+            full = self.lengths[s] > 0
+            live, s = live[full], s[full]
+            same = self.hashes[s] == h[live]
+            hit, hs = live[same], s[same]
+            ends, sizes = self.ends[hs].tolist(), self.sizes[hs].tolist()
+            equal = np.fromiter((blob[e - z : e] == keys[k] for k, e, z in zip(hit.tolist(), ends, sizes)), bool, len(hit))
+            out[hit[equal]] = self.lengths[hs[equal]]
+            settled = np.zeros(len(live), bool)
+            settled[np.nonzero(same)[0][equal]] = True
+            live = live[~settled]
+            slot[live] = (slot[live] + np.uint64(1)) & mask
+        return out.tolist()
 
 
 def frequent_lengths(path: str, entries: int = TABLE_ENTRIES) -> LengthTable:
@@ -82,17 +116,26 @@ def frequent_lengths(path: str, entries: int = TABLE_ENTRIES) -> LengthTable:
 class Counter:
     def __init__(self, path: str, table: LengthTable):
         self.tok = load(path)
-        self.tier1 = table.mapping()
+        self.tier1 = table
         self.memo = Memo(self._lengths)
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or "(?!)")
 
     def _lengths(self, pieces: list[str]) -> list[int]:
         """A piece that begins with a line end stands for itself, another for a space and itself."""
         cut = [PRE_TOKEN.findall(p if p[:1] == "\n" else p[1:] if p[:1] == "\0" else " " + p) for p in pieces]
-        tier1 = self.tier1
-        unknown = list({w for ws in cut for w in ws if w not in tier1})
-        found = dict(zip(unknown, (len(e.ids) for e in self.tok.encode_batch(unknown, add_special_tokens=False)))) if unknown else {}
-        return [sum(tier1[w] if w in tier1 else found[w] for w in ws) for ws in cut]
+        words = list({w for ws in cut for w in ws})
+        found = dict(zip(words, self.tier1.find([w.encode("utf-8", "surrogatepass") for w in words])))
+        unknown = [w for w, n in found.items() if not n]
+        if unknown:
+            found.update(zip(unknown, (len(e.ids) for e in self.tok.encode_batch(unknown, add_special_tokens=False))))
+        return [sum(map(found.__getitem__, ws)) for ws in cut]
+
+    def _table(self, pieces: set[str]) -> dict[str, int]:
+        """Tier one for the pieces that are one frequent pre-token, the worker's cache for the others."""
+        names = list(pieces)
+        keys = [(p[1:] if p[:1] == "\0" else p if p[:1] == "\n" else " " + p).encode("utf-8", "surrogatepass") for p in names]
+        found = {p: n for p, n in zip(names, self.tier1.find(keys)) if n}
+        return Layered(self.memo.table(pieces - found.keys()), found)
 
     def _pieces(self, text: str) -> list[str]:
         """The first piece follows no space, which a leading NUL says."""
@@ -116,14 +159,14 @@ class Counter:
             else:
                 extra.append(0)
                 pieces.append(self._pieces(t))
-        table = self.memo.table(set().union(*pieces))
+        table = self._table(set().union(*pieces))
         return [e + sum(map(table.__getitem__, ps)) for e, ps in zip(extra, pieces)]
 
     def _whole(self, text: str) -> int:
         """Texts with runs of white space: cut only at single spaces between non-spaces."""
         parts = CUT.split(text)
         keyed = ["\0" + parts[0], *("\0 " + p for p in parts[1:])]
-        table = self.memo.table(set(keyed))
+        table = self._table(set(keyed))
         return sum(map(table.__getitem__, keyed))
 
 

@@ -63,6 +63,17 @@ def test_token_counts(spark):
         assert (got[i]["n_tokens"], got[i]["n_bytes"], got[i]["over_limit"]) == (n, len((t or "").encode()), n > 512)
 
 
+def test_length_table_settles_collisions(monkeypatch):
+    rng = random.Random(21)
+    keys = list({"".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 9))) for _ in range(900)})
+    real = tokens.xxhash.xxh3_64_intdigest
+    for digest in (real, lambda b: real(b) % 5):
+        monkeypatch.setattr(tokens.xxhash, "xxh3_64_intdigest", digest)
+        table = tokens.LengthTable(keys[:500], [1 + k % 200 for k in range(500)])
+        want = {k: 1 + i % 200 for i, k in enumerate(keys[:500])}
+        assert table.find([k.encode() for k in keys]) == [want.get(k, 0) for k in keys]
+
+
 def test_token_files(spark, word_tok):
     docs = frame(spark, ODD + ["long " * 3000])
     got = rows(huffman.token_files(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -110,6 +121,7 @@ def test_secrets_of_letters_or_digits_and_whole_keys():
         assert secrets.mask(text) == "see [secret] end"
     for clean in ("internationalOrganisationForStandards", "a-well-known-and-very-long-slug", "SOME_CONSTANT_NAME_OF_CAPITALS", "path/to/MyClassName/anotherPartOfIt", "2024-01-01/2024-12-31"):
         assert secrets.all_spans(f"see {clean} end")[1] == []
+    assert secrets.all_spans("see example_key_xxxxxxxx_1234 end")[1] == [] and secrets.all_spans(f"see sample{key}7 end")[1]
     for kind, limit in secrets.LIMITS.items():
         assert limit < np.log2(10 if kind == "digits" else secrets.WINDOW), kind
 
