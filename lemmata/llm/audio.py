@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import cuts, fresh_path, in_arrow, remove
@@ -249,33 +250,76 @@ def align(queries: DataFrame, recordings: DataFrame, max_error: float = 0.25, le
     Every offset with a vote and enough overlap is judged. ``recordings`` is read
     once for each block of queries.
     """
+
+    def rows(met):
+        cols = [[], [], [], [], []]
+        for name, ids, _, (q, *rest) in met:
+            for to, v in zip(cols, ([ids[k] for k in q.tolist()], [name] * len(q), *(r.tolist() for r in rest))):
+                to.extend(v)
+        return cols
+
+    kinds = [x.schema["id"].dataType for x in (queries, recordings)]
+    return _search(queries.withColumn("weight", F.lit(1)), recordings, max_error, least_overlap, rows, [("query", kinds[0]), ("id", kinds[1]), *RESULT])
+
+
+def answers(queries: DataFrame, recordings: DataFrame, max_error: float = 0.25, least_overlap: int = 12) -> DataFrame:
+    """Per recording that any query matches: (id, n_matches, query, offset, overlap, bit_error) of the best, equal ones by query id.
+
+    ``queries`` (id, codes, weight): a query counts for as many as its weight. As
+    ``align``, but pairs are folded where they are found, so that a row for each
+    recording and block of queries is all that leaves a task.
+    """
+
+    def rows(met):
+        cols = [[], [], [], [], [], []]
+        for name, ids, weights, (q, offset, overlap, error) in met:
+            if len(q):
+                near = np.nonzero(error == error.min())[0].tolist()
+                k = min(near, key=lambda i: ids[q[i]])
+                own = (name, int(weights[q].sum()), ids[q[k]], int(offset[k]), int(overlap[k]), float(error[k]))
+                for to, v in zip(cols, own):
+                    to.append(v)
+        return cols
+
+    kinds = [x.schema["id"].dataType for x in (queries, recordings)]
+    found = _search(queries, recordings, max_error, least_overlap, rows, [("id", kinds[1]), ("n_matches", T.LongType()), ("query", kinds[0]), *RESULT])
+    best = F.min(F.struct("bit_error", "query", "offset", "overlap")).alias("b")
+    t = found.groupBy("id").agg(F.sum("n_matches").alias("n_matches"), best)
+    return t.select("id", "n_matches", "b.query", "b.offset", "b.overlap", "b.bit_error")
+
+
+RESULT = [("offset", T.IntegerType()), ("overlap", T.IntegerType()), ("bit_error", T.DoubleType())]
+
+
+def _search(queries: DataFrame, recordings: DataFrame, max_error: float, least_overlap: int, rows, fields: list[tuple[str, T.DataType]]) -> DataFrame:
+    """What ``rows`` makes of (recording, ids and weights of a block's queries, matches), in columns named by ``fields``."""
     spark = queries.sparkSession
-    types = [x.schema["id"].dataType for x in (queries, recordings)]
-    kinds, id_types = [t.simpleString() for t in types], [to_arrow_type(t) for t in types]
-    schema = f"query {kinds[0]}, id {kinds[1]}, offset int, overlap int, bit_error double"
-    asked = queries.select("id", "codes").where(F.size("codes") >= least_overlap)
+    id_kind = queries.schema["id"].dataType.simpleString()
+    names, types = [n for n, _ in fields], [to_arrow_type(t) for _, t in fields]
+    schema = ", ".join(f"{n} {t.simpleString()}" for n, t in fields)
+    asked = queries.select("id", "codes", F.col("weight").cast("bigint")).where(F.size("codes") >= least_overlap)
     n_codes = asked.agg(F.sum(F.size("codes"))).first()[0] or 0
     n_blocks = int(n_codes // (BLOCK_CODES // 2)) + 1
 
     def pack(batches):
         # a task's queries in blocks; a block is a row, so that one is read at a time
-        ids, sizes, codes, held = [], [], [], 0
+        ids, weights, sizes, codes, held = [], [], [], [], 0
 
         def block():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(id_type)), pa.array([np.array(sizes, "<i8").tobytes()], pa.binary()), pa.array([np.concatenate(codes).tobytes()], pa.binary())],
-                names=["name", "ids", "sizes", "codes"],
-            )
+            cols = [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(id_type))]
+            cols += [pa.array([np.array(x, "<i8").tobytes()], pa.binary()) for x in (weights, sizes)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array([np.concatenate(codes).tobytes()], pa.binary())], names=["name", "ids", "weights", "sizes", "codes"])
 
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for i, c in zip(batch.column(0), batch.column(1)):
+            for i, c, w in zip(*batch.columns):
                 own = c.values.to_numpy().astype("<u4")
                 if ids and held + len(own) > BLOCK_CODES:
                     yield block()
-                    ids, sizes, codes, held = [], [], [], 0
+                    ids, weights, sizes, codes, held = [], [], [], [], 0
                 ids.append(i.as_py())
+                weights.append(w.as_py())
                 sizes.append(len(own))
                 codes.append(own)
                 held += len(own)
@@ -283,32 +327,23 @@ def align(queries: DataFrame, recordings: DataFrame, max_error: float = 0.25, le
             yield block()
 
     path = fresh_path(spark, "queries")
-    in_arrow(asked.repartition(n_blocks), pack, f"name string, ids array<{kinds[0]}>, sizes binary, codes binary").write.parquet(path)
+    in_arrow(asked.repartition(n_blocks), pack, f"name string, ids array<{id_kind}>, weights binary, sizes binary, codes binary").write.parquet(path)
     blocks = spark.read.parquet(path)
-    names = [r["name"] for r in blocks.select("name").collect()]  # one for each block
     out = fresh_path(spark, "aligned")
     spark.createDataFrame([], schema).write.parquet(out)
     own = recordings.select("id", "codes").where(F.size("codes") >= least_overlap)
-    for name in names:
+    for name in [r["name"] for r in blocks.select("name").collect()]:  # one for each block
         row = blocks.where(F.col("name") == name).first()  # BLOCK_CODES integers, or one recording's
-        shared = spark.sparkContext.broadcast((row["ids"], bytes(row["sizes"]), bytes(row["codes"])))
+        shared = spark.sparkContext.broadcast((row["ids"], *(bytes(row[c]) for c in ("weights", "sizes", "codes"))))
 
         def search(batches, shared=shared):
-            ids, sizes, codes = shared.value
-            block = Block(np.frombuffer(sizes, "<i8"), np.frombuffer(codes, "<u4"))
+            ids, weights, sizes, codes = shared.value
+            block, weights = Block(np.frombuffer(sizes, "<i8"), np.frombuffer(codes, "<u4")), np.frombuffer(weights, "<i8")
             for batch in batches:
                 for x in range(0, batch.num_rows, MEDIA_ROWS):
                     part = batch.slice(x, MEDIA_ROWS)
-                    found = []
-                    for i, c in zip(part.column(0), part.column(1)):
-                        q, *rest = block.matches(c.values.to_numpy().astype(np.uint32), max_error, least_overlap)
-                        found.append((([ids[k] for k in q.tolist()]), [i.as_py()] * len(q), *rest))
-                    query, who = ([v for f in found for v in f[k]] for k in (0, 1))
-                    offset, overlap, error = (np.concatenate([f[k] for f in found]) for k in (2, 3, 4))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(query, id_types[0]), pa.array(who, id_types[1]), pa.array(offset.astype(np.int32)), pa.array(overlap.astype(np.int32)), pa.array(error)],
-                        names=["query", "id", "offset", "overlap", "bit_error"],
-                    )
+                    met = ((i.as_py(), ids, weights, block.matches(c.values.to_numpy().astype(np.uint32), max_error, least_overlap)) for i, c in zip(*part.columns))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows(met), types)], names=names)
 
         in_arrow(own, search, schema).write.mode("append").parquet(out)
         shared.unpersist()

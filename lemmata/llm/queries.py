@@ -18,7 +18,7 @@ def op1_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of recordings rendered from every row of embeddings, searched for by every hundredth of them."""
     from pyspark.sql import functions as F
 
-    from .audio import align, fingerprints, rendered
+    from .audio import answers, fingerprints, rendered
     from .common import materialize
 
     key = F.sha2(F.array_join(F.col("codes").cast("array<string>"), ",").cast("binary"), 256)
@@ -30,14 +30,11 @@ def op1_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.first("codes").alias("codes"), F.min("id").alias("id"), F.count_if(asks).alias("n_queries"), F.min(F.when(asks, F.col("id"))).alias("query_id")
     )
     classes = materialize(classes, "classes")
-    found = align(classes.where("n_queries > 0").select("id", "codes"), classes.select("id", "codes"))
-    found = found.join(classes.select(F.col("id").alias("query"), "n_queries", "query_id"), "query")
-    links = found.groupBy("id").agg(
-        F.sum("n_queries").alias("n_matches"),
-        F.min(F.struct("bit_error", "query_id", "offset")).alias("best"),
-    )
-    answers = classes.select("key", "id").join(links, "id").drop("id")
-    return codes.join(answers, "key", "left").select(
+    asked = classes.where("n_queries > 0").select(F.col("query_id").alias("id"), "codes", F.col("n_queries").alias("weight"))
+    found = answers(asked, classes.select("id", "codes"))
+    best = F.struct("bit_error", F.col("query").alias("query_id"), "offset").alias("best")
+    answered = classes.select("key", "id").join(found.select("id", "n_matches", best), "id").drop("id")
+    return codes.join(answered, "key", "left").select(
         F.col("id").alias("vec_id"),
         F.size("codes").cast("long").alias("n_codes"),
         F.col("key").alias("codes_sha256"),
