@@ -148,3 +148,87 @@ def test_query_matches_its_sql(spark, name):
         return sorted([tuple(f"{x:.6f}" if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x) for x in row) for row in df.values.tolist()])
 
     assert plain(got) == plain(want)
+
+
+def one(spark, make, **values):
+    """``make`` of columns of one row."""
+    return spark.range(1).select(*[F.lit(x).alias(k) for k, x in values.items()]).select(make(*[F.col(k) for k in values]).alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    "latex, failing",
+    [
+        (r"\frac{a}{b}", set()), (r"\frac12", {"frac_has_two_args"}), (r"\frac{\frac{a}{b}}{c}", set()), (r"\frac{\frac{a}}{c}", {"frac_has_two_args"}), (r"\dfrac {a} {b}", set()),
+        ("x^(2)", {"scripts_have_args"}), ("x^ {2}_i", set()), ("x_", {"scripts_have_args"}), (r"\vec{x} + \hat{y} \in \mathbb{R} \Delta", set()), (r"\unheard", {"commands_are_known"}),
+        (r"\left[ x \right]", {"left_right_matched"}), (r"\left( x \right)", set()), ("{" * 13 + "}" * 13, {"depth_within_limit"}), (")(", {"balanced_parens"}),
+    ],
+)
+def test_syntax_checks(spark, latex, failing):
+    from lemmata.functions import text
+
+    checks = text.syntax_checks(F.col("x"))
+    got = spark.createDataFrame([(latex,)], "x string").select(*[c.alias(n) for n, c in checks.items()]).first().asDict()
+    assert {n for n, ok in got.items() if not ok} == failing
+
+
+@pytest.mark.parametrize(
+    "latex, check, fires",
+    [("a +- b", "REPEATED_OPERATOR", True), ("a // b", "REPEATED_OPERATOR", True), ("a = = b", "REPEATED_OPERATOR", False), ("x--", "REPEATED_OPERATOR", False), (r"\textbf{x}", "NO_MATH_COMMANDS", True), (r"\sum x", "NO_MATH_COMMANDS", False)],
+)
+def test_ocr_checks(spark, latex, check, fires):
+    from lemmata.functions import scores
+
+    made = {n: c for n, c, _ in scores.ocr_checks(F.col("x"))}
+    assert spark.createDataFrame([(latex,)], "x string").select(made[check]).first()[0] is fires
+
+
+def test_layout_confidence():
+    import numpy as np
+    from lemmata.operators import pixels
+
+    page = np.full((40, 100), 255.0)
+    page[10:14, 20:60] = 0
+    assert pixels.layout_confidence(page, 300) == pytest.approx((1 - 0.35) * 3 / 8)  # ten white rows above the ink are a band
+    page[:9] = page[9] = 255
+    page[2:10, 20:99] = 0
+    dark = pixels.layout_confidence(page, 100)
+    top, right = page[:3].mean(), page[:, -3:].mean()
+    want = 1 - (0.10 if top < 240 else 0) - (0.25 if right < 240 else 0) - (1 - 100 / 150) * 0.30
+    assert dark == pytest.approx(want * min(top, right, 255) / 255 * 3 / 8)
+    assert pixels.layout_confidence(np.full((50, 60), 255.0), 60) == pytest.approx((0.20 - 0.15) * 3 / 8)
+    assert pixels.layout_confidence(np.zeros((0, 0)), 300) is None
+
+
+def test_documents_are_classified(spark):
+    from lemmata.functions import documents as D
+
+    def category(title, pages, multi, table=0.0, figure=0.0, equation=0.0):
+        t = spark.createDataFrame([(title, pages, multi, table, figure, equation)], "t string, p int, m boolean, a double, b double, c double")
+        got = D.select_category(D.category_scores(*[F.col(x) for x in "tpmabc"])).alias("g")
+        return tuple(t.select(got).first()["g"])
+
+    assert category("Steel Handbook and Reference Manual", 300, False, 0.2)[0] == "reference_handbook"
+    assert category("", 12, True)[2] == "below_threshold"
+    # two categories with one word each: neither is far enough ahead
+    assert category("Patent Report", 60, False)[0] == "unknown"
+    got = one(spark, D.banded_modality, d=0.5, s=0.3, n=10)
+    assert (got["modality"], got["confidence"]) == ("hybrid", 0.5)
+    assert one(spark, D.banded_modality, d=0.0, s=0.0, n=0)["modality"] == "scanned" and one(spark, D.banded_modality, d=0.85, s=0.1, n=9)["modality"] == "digital"
+    got = one(spark, D.complexity, d=0.2, m=True)
+    assert (got["level"], got["confidence"]) == ("complex", 0.8)
+    got = one(spark, D.complexity, d=0.05, m=False)
+    assert (got["level"], got["confidence"]) == ("simple", 0.8)
+    named = {"digital|patent|simple": "a", "scanned": "b"}
+    pick = lambda m, c, x: one(spark, lambda *k: D.recommend_strategy(*k, named, "z"), m=m, c=c, x=x)
+    assert [pick("digital", "patent", "simple"), pick("digital", "patent", "complex"), pick("scanned", "patent", "simple"), pick("odd", "x", "y")] == ["a", "digital_text_first", "b", "z"]
+
+
+def test_repair_needs_a_second_verdict(spark):
+    from lemmata.operators import review
+
+    rows = [("x", 0.4, False, True, "y"), ("x", 0.4, False, True, " x "), ("x", 0.4, False, False, "y"), ("x", 0.4, True, True, "y"), ("x", 0.4, False, True, None)]
+    t = spark.createDataFrame(rows, "latex string, confidence double, accepted boolean, crop_valid boolean, corrected string").withColumn("provider", F.lit("p"))
+    yes = review.repaired(t, lambda fix: (F.lit(True), F.lit(0.995), F.lit(None).cast("string"))).collect()
+    assert [(r["latex"], r["confidence"], r["provider"]) for r in yes] == [("y", 0.99, "judge_repair")] + [("x", 0.4, "p")] * 4
+    no = review.repaired(t, lambda fix: (F.lit(False), F.lit(0.9), F.lit("j"))).collect()
+    assert not any(r["repaired"] for r in no)
