@@ -58,6 +58,15 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def settle(spark: SparkSession) -> None:
+    """Return memory of ended work on the driver, and let the engine drop that work's broadcasts and shuffle files.
+
+    Both go only when a collection finds them unreachable, which a driver between long jobs may not do for long.
+    """
+    spark.sparkContext._jvm.System.gc()
+    give_back()
+
+
 #: Bytes of an Arrow batch. The engine's default, 64 MB, is held several times at once by both sides of the pipe.
 BATCH_BYTES = 4_000_000
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, remove
+from .common import fresh_path, remove, settle
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -46,6 +46,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         last_path, last_state = path, state
     else:
         raise RuntimeError(f"components were not stable after {max_rounds} rounds")
+    settle(spark)
     own = now.groupBy("a").agg(F.min("b").alias("component"))
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return own.select(F.col("a").alias("node"), "component").unionByName(roots)
