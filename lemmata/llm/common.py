@@ -96,6 +96,7 @@ def map_texts(
     out: str,
     keys: tuple[str, ...] = ("doc_id",),
     text: str = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """One row per input row: ``keys`` and the columns named in ``out`` (DDL).
 
@@ -109,7 +110,7 @@ def map_texts(
 
     def run(batches):
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(len(keys))):
+            for a, b, texts in text_slices(batch.column(len(keys)), limit):
                 made = fn(texts)
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keys))]
                 yield pa.RecordBatch.from_arrays(

@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_symbols
-from .common import Layered, Memo, map_texts
+from .common import Memo, map_texts
 
 #: Entries of the broadcast table, at most.
 TABLE_ENTRIES = 50_000
+#: Bytes of texts whose different pieces are looked up at once.
+SLICE = 2_000_000
 #: Pre-tokens of byte-level vocabularies: a fixed public pattern.
 PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A text with one of these isn't cut at each space and line end, but between non-spaces only.
@@ -135,7 +137,10 @@ class Counter:
         names = list(pieces)
         keys = [(p[1:] if p[:1] == "\0" else p if p[:1] == "\n" else " " + p).encode("utf-8", "surrogatepass") for p in names]
         found = {p: n for p, n in zip(names, self.tier1.find(keys)) if n}
-        return Layered(self.memo.table(pieces - found.keys()), found)
+        missing = pieces - found.keys()
+        cached = self.memo.table(missing)
+        found.update((p, cached[p]) for p in missing)
+        return found
 
     def _pieces(self, text: str) -> list[str]:
         """The first piece follows no space, which a leading NUL says."""
@@ -183,5 +188,5 @@ def count_tokens(df: DataFrame, path: str, limit: int = 512, id_col: str = "doc_
         n = _counters[path].count(texts)
         return {"n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()), "n_tokens": pa.array(n, pa.int64())}
 
-    out = map_texts(df, run, "n_bytes bigint, n_tokens bigint", (id_col,), text_col)
+    out = map_texts(df, run, "n_bytes bigint, n_tokens bigint", (id_col,), text_col, SLICE)
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
