@@ -5,8 +5,9 @@ the driver from the vocabulary (so its size is bounded by the vocabulary, not
 by the data) and broadcast as arrays: open addressing by a 64-bit hash, and the
 keys themselves to settle it. The space-delimited pieces of a slice of texts are
 looked up there side by side. What the table lacks goes to the worker's cache, and
-what that lacks is cut into pre-tokens and encoded by the tokenizer. No pre-token
-is shuffled.
+what that lacks is encoded by the tokenizer: a short piece as it is, a long one
+pre-token by pre-token, so that no call holds a long text's tokens. No pre-token is
+shuffled.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; special strings
 inside a text count as the tokenizer's default has it; repeated rows and ids each
@@ -32,6 +33,8 @@ from .common import Memo, map_texts
 TABLE_ENTRIES = 50_000
 #: Bytes of texts whose different pieces are looked up at once.
 SLICE = 2_000_000
+#: Missing pieces of more characters are cut into pre-tokens before they are encoded.
+SHORT_PIECE = 64
 #: Pre-tokens of byte-level vocabularies: a fixed public pattern.
 PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A text with one of these isn't cut at each space and line end, but between non-spaces only.
@@ -122,15 +125,24 @@ class Counter:
         self.memo = Memo(self._lengths)
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or "(?!)")
 
+    def _encoded(self, words: list[str]) -> list[int]:
+        return list(map(len, self.tok.encode_batch_fast(words, add_special_tokens=False)))
+
     def _lengths(self, pieces: list[str]) -> list[int]:
         """A piece that begins with a line end stands for itself, another for a space and itself."""
-        cut = [PRE_TOKEN.findall(p if p[:1] == "\n" else p[1:] if p[:1] == "\0" else " " + p) for p in pieces]
-        words = list({w for ws in cut for w in ws})
-        found = dict(zip(words, self.tier1.find([w.encode("utf-8", "surrogatepass") for w in words])))
+        words = [p if p[:1] == "\n" else p[1:] if p[:1] == "\0" else " " + p for p in pieces]
+        long = [i for i, w in enumerate(words) if len(w) > SHORT_PIECE]
+        cut = [PRE_TOKEN.findall(words[i]) for i in long]
+        for i in long:
+            words[i] = ""
+        out = self._encoded(words)
+        parts = list({w for ws in cut for w in ws})
+        found = dict(zip(parts, self.tier1.find([w.encode("utf-8", "surrogatepass") for w in parts])))
         unknown = [w for w, n in found.items() if not n]
-        if unknown:
-            found.update(zip(unknown, (len(e.ids) for e in self.tok.encode_batch(unknown, add_special_tokens=False))))
-        return [sum(map(found.__getitem__, ws)) for ws in cut]
+        found.update(zip(unknown, self._encoded(unknown)))
+        for i, ws in zip(long, cut):
+            out[i] = sum(map(found.__getitem__, ws))
+        return out
 
     def _table(self, pieces: set[str]) -> dict[str, int]:
         """Tier one for the pieces that are one frequent pre-token, the worker's cache for the others."""
@@ -143,12 +155,11 @@ class Counter:
         return found
 
     def _pieces(self, text: str) -> list[str]:
-        """The first piece follows no space, which a leading NUL says."""
+        """Pieces of a text without NUL and uneven white space; the first follows no space, which a leading NUL says."""
         if not text:
             return []
-        parts = CUT.split(text) if "\0" in text or UNEVEN.search(text) else text.replace("\n", " \n").split(" ")
-        parts[0] = "\0" + parts[0] if parts[0] else "\0"
-        # a piece of its own that begins with NUL or a line end must not be taken for the other kinds
+        parts = text.replace("\n", " \n").split(" ")
+        parts[0] = "\0" + parts[0]
         return parts
 
     def count(self, texts: list[str]) -> list[int]:

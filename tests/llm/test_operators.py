@@ -63,6 +63,17 @@ def test_token_counts(spark):
         assert (got[i]["n_tokens"], got[i]["n_bytes"], got[i]["over_limit"]) == (n, len((t or "").encode()), n > 512)
 
 
+def test_token_counts_of_long_and_repeated_pieces(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = tokens.load(path)
+    rng = random.Random(22)
+    texts = ["".join(rng.choice("abé9,$日 \n") for _ in range(rng.randrange(1, 400))) for _ in range(200)]
+    texts += ["x" * 63, "x" * 64, "x" * 65, "ab,9" * 5000, "a " * 300 + "q" * 70 + "\n" * 90 + "end", "wort", "wort"]
+    got = rows(tokens.count_tokens(frame(spark, texts), path))
+    want = [len(e.ids) for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [got[i]["n_tokens"] for i in range(len(texts))] == want
+
+
 def test_length_table_settles_collisions(monkeypatch):
     rng = random.Random(21)
     keys = list({"".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 9))) for _ in range(900)})
