@@ -61,6 +61,9 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.bytes = byte_symbols()
+        #: id of each byte inside a pre-token and at its end; -1 where the vocabulary lacks one
+        self.inside = np.array([self.ids.get(b, -1) for b in self.bytes], np.int64)
+        self.at_end = np.array([self.ids.get(b + self.suffix, -1) for b in self.bytes], np.int64)
         self.split_special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
 
     def word(self, word: str) -> list[int]:
@@ -119,25 +122,21 @@ class WordBpe:
 
     def many(self, words: list[str]) -> list[list[int]]:
         """As ``word`` for each, with the trees of words of like length side by side in arrays."""
-        names, known, suffix = self.bytes, self.ids, self.suffix
+        if min(self.inside.min(), self.at_end.min()) < 0:
+            return list(map(self.word, words))
+        raw = [w.encode("utf-8") for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         out: list = [None] * len(words)
-        groups: dict[int, list[tuple[int, list[int]]]] = {}
-        for k, w in enumerate(words):
-            symbols = [names[b] for b in w.encode("utf-8")]
-            symbols[-1] += suffix
-            ids = [known[s] for s in symbols]
-            n = len(ids)
-            if n < 2:
-                out[k] = ids
-            elif n > 64:
-                out[k] = self.word(w)
-            else:
-                groups.setdefault(max(2, 1 << (n - 1).bit_length()), []).append((k, ids))
-        for size, members in groups.items():
+        size = 1
+        while size <= 64:  # longer ones have a tree each
+            members = np.nonzero((sizes > size // 2) & (sizes <= size))[0].tolist()
             for at in range(0, len(members), 8192):
                 part = members[at : at + 8192]
-                for (k, _), ids in zip(part, self._merged([ids for _, ids in part], size)):
+                for k, ids in zip(part, self._merged([raw[k] for k in part], size)):
                     out[k] = ids
+            size *= 2
+        for k in np.nonzero(sizes > 64)[0].tolist():
+            out[k] = self.word(words[k])
         return out
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -146,12 +145,15 @@ class WordBpe:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.key_rank[at], NONE)
 
-    def _merged(self, rows: list[list[int]], size: int) -> list[list[int]]:
+    def _merged(self, rows: list[bytes], size: int) -> list[list[int]]:
         n_rows = len(rows)
         n = np.fromiter(map(len, rows), np.int64, n_rows)
         ids = np.full((n_rows, size + 1), -1, np.int64)
         held = np.arange(size + 1) < n[:, None]
-        ids[held] = np.fromiter((i for r in rows for i in r), np.int64, int(n.sum()))
+        flat, last = np.frombuffer(b"".join(rows), np.uint8), np.cumsum(n) - 1
+        symbols = self.inside[flat]
+        symbols[last] = self.at_end[flat[last]]
+        ids[held] = symbols
         tree = np.full((n_rows, 2 * size), NONE, np.int64)
         r, c = np.nonzero(held[:, 1:])
         rank = self._ranks(ids[r, c], ids[r, c + 1])
@@ -220,17 +222,19 @@ class Coder:
         self.bpe = WordBpe(path)
         self.memo = Memo(self._chunks, 150_000)
         names = self.bpe.names
-        self.special = {t: (str(i).encode(), names[i].encode()) for t, i in self.bpe.special.items()}
+        self.digits = {i: str(i).encode() for i in names}
+        self.shown = {i: t.encode() for i, t in names.items()}
+        self.special = {t: (self.digits[i], self.shown[i]) for t, i in self.bpe.special.items()}
 
     def _chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
         """Decimal ids of each chunk and the names of those ids, joined by spaces."""
         words = [[c] if c.isascii() and c.isalpha() else PRE_TOKEN.findall(c) for c in chunks]
         unique = list({w for ws in words for w in ws})
         ids = dict(zip(unique, self.bpe.many(unique)))
-        names, out = self.bpe.names, []
+        digit, show, out = self.digits.__getitem__, self.shown.__getitem__, []
         for ws in words:
             found = ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]]
-            out.append((" ".join(map(str, found)).encode(), " ".join([names[i] for i in found]).encode()))
+            out.append((b" ".join(map(digit, found)), b" ".join(map(show, found))))
         return out
 
     def _pieces(self, text: str) -> list:
