@@ -62,7 +62,9 @@ VOTE_BITS = 16
 #: Integers of the queries of one block, where one query alone has no more.
 BLOCK_CODES = 250_000
 #: Pairs of integers that are compared at once.
-AT_ONCE = 50_000
+AT_ONCE = 100_000
+#: Integers of an alignment that are compared before it is judged again; eight words of 64 bits.
+STRETCH = 16
 
 
 def decode_wav(raw: bytes | None) -> np.ndarray:
@@ -175,16 +177,67 @@ def runs(codes: np.ndarray, group: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return value[first], first, np.append(first[1:], len(codes))
 
 
-def two_by_two(codes: np.ndarray) -> np.ndarray:
-    """Each integer with the one behind it."""
-    return codes[:-1].astype(np.uint64) | codes[1:].astype(np.uint64) << np.uint64(32)
+def stretches(codes: np.ndarray) -> np.ndarray:
+    """For each place the STRETCH integers from there on as one item, over the same memory; zeros follow the end."""
+    padded = np.concatenate([codes.astype("<u4"), np.zeros(STRETCH, "<u4")])
+    return np.ndarray(len(codes) + 1, f"V{4 * STRETCH}", padded, strides=(4,))
+
+
+#: Bits of the first k integers of a stretch.
+KEPT = np.tril(np.full((STRETCH, STRETCH), 0xFFFFFFFF, "<u4"), -1).view("<u8")
+_BYTES, _ADD, _EIGHT, _TOP = (np.uint64(x) for x in (0x00FF00FF00FF00FF, 0x0001000100010001, 8, 48))
+
+
+def close(mine: np.ndarray, other: np.ndarray, i: np.ndarray, j: np.ndarray, overlap: np.ndarray, max_error: float) -> tuple[np.ndarray, np.ndarray]:
+    """(places, bit errors) of the alignments that have at most ``max_error``, in order.
+
+    An alignment sets ``overlap`` integers from ``i`` on (``mine``, as stretches) beside
+    those from ``j`` on. One is let go as soon as its wrong bits alone are too many.
+    """
+    # like overlaps side by side; exactly so up to 65,535, which sort faster
+    order = np.argsort(np.minimum(overlap, 0xFFFF).astype(np.uint16), kind="stable")
+    most = np.floor(max_error * 32 * overlap).astype(np.int64) + 1  # one more, so that rounding lets none go
+    found, bits_wrong = [], []
+    for at in range(0, len(order), AT_ONCE // STRETCH):
+        live = order[at : at + AT_ONCE // STRETCH]
+        a, b, left, allowed = i[live], j[live], overlap[live], most[live]
+        while len(live):
+            bits = mine[a].view("<u8")
+            bits ^= other[b].view("<u8")
+            short = np.nonzero(left < STRETCH)[0]
+            if len(short):
+                bits = bits.reshape(-1, STRETCH // 2)
+                bits[short] &= KEPT[left[short]]
+            # eight counts of at most 64 each in one integer, added up in it
+            eight = np.bitwise_count(bits).reshape(-1).view("<u8")
+            allowed -= ((((eight & _BYTES) + (eight >> _EIGHT & _BYTES)) * _ADD) >> _TOP).view(np.int64)
+            keep = allowed >= 0
+            ended = left <= STRETCH
+            if ended.any():
+                done = np.nonzero(keep & ended)[0]
+                found.append(live[done])
+                bits_wrong.append(most[live[done]] - allowed[done])
+                keep &= ~ended
+            if not keep.all():
+                on = np.nonzero(keep)[0]
+                live, a, b, left, allowed = live[on], a[on], b[on], left[on], allowed[on]
+            a += STRETCH
+            b += STRETCH
+            left -= STRETCH
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0)
+    found = np.concatenate(found)
+    error = np.concatenate(bits_wrong) / (32.0 * overlap[found])
+    good = np.nonzero(error <= max_error)[0]
+    good = good[np.argsort(found[good])]
+    return found[good], error[good]
 
 
 class Block:
     """The queries of a block, ready to be met by any recording."""
 
     def __init__(self, sizes: np.ndarray, codes: np.ndarray):
-        self.sizes, self.codes, self.twice = sizes.astype(np.int64), codes, two_by_two(codes)
+        self.sizes, self.codes = sizes.astype(np.int64), stretches(codes)
         self.start = np.cumsum(self.sizes) - self.sizes
         self.groups = []
         for g in range(32 // VOTE_BITS):
@@ -194,15 +247,17 @@ class Block:
             first, end = (np.concatenate([x[i] for x in found]) for i in (2, 3))
             by = np.argsort(value, kind="stable")
             index = np.searchsorted(value[by], np.arange((1 << VOTE_BITS) + 1))
-            self.groups.append((index, owner[by], first[by], end[by]))
+            # offsets from the place of the bin of offset 0 with n = 0: to the farthest and behind the nearest end of a run
+            far = (self.start + self.sizes)[owner] - end
+            self.groups.append((index, owner[by], far[by], (far + end - first)[by]))
 
     def voted(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, offset) of the bins of the histogram that hold a vote of ``codes``."""
         n = len(codes)
         # the bins of a query: offsets 1 - size to n - 1, and one that ends the last
-        base = np.cumsum(self.sizes + n) - (self.sizes + n)
-        bins = np.zeros(int((self.sizes + n).sum()) + 1, np.int64)
-        for g, (index, owner, first, end) in enumerate(self.groups):
+        base = self.start + n * np.arange(len(self.sizes))
+        bins, one = np.zeros(int((self.sizes + n).sum()) + 1, np.int32), np.int32(1)  # of one type: np.add.at is fast then
+        for g, (index, owner, far, near) in enumerate(self.groups):
             value, a, b = runs(codes, g)
             count = index[value + 1] - index[value]
             for x, y in cuts(count, AT_ONCE):
@@ -210,11 +265,14 @@ class Block:
                 own = np.repeat(np.arange(x, y), c)
                 hit = np.arange(len(own)) + np.repeat(index[value[x:y]] - (np.cumsum(c) - c), c)
                 # runs that agree give every offset from their farthest to their nearest ends
-                shift = base[owner[hit]] + self.sizes[owner[hit]] - 1
-                bins += np.bincount(shift + a[own] - (end[hit] - 1), minlength=len(bins))
-                bins -= np.bincount(shift + b[own] - first[hit], minlength=len(bins))
-        held = np.nonzero(np.cumsum(bins[:-1]) > 0)[0]
-        query = np.searchsorted(base, held, side="right") - 1
+                shift = owner[hit] * n
+                np.add.at(bins, shift + far[hit] + a[own], one)
+                np.subtract.at(bins, shift + near[hit] + b[own] - 1, one)
+        # votes change at few bins: from each of these on to the next all hold as many
+        at = np.nonzero(bins != 0)[0]
+        wide = np.diff(at, append=len(bins)) * (np.cumsum(bins[at]) > 0)
+        held = np.arange(int(wide.sum())) + np.repeat(at - (np.cumsum(wide) - wide), wide)
+        query = np.repeat(np.arange(len(base)), np.diff(np.searchsorted(held, base), append=len(held)))
         return query, held - base[query] - self.sizes[query] + 1
 
     def matches(self, codes: np.ndarray, max_error: float, least_overlap: int):
@@ -226,20 +284,9 @@ class Block:
         ok = overlap >= least_overlap
         query, offset, first, overlap = query[ok], offset[ok], first[ok], overlap[ok]
         i, j = self.start[query] + first, first + offset
-        # of an odd overlap the last integers stand alone, the others are compared two at a time
-        last = overlap - 1
-        wrong = (overlap & 1) * np.bitwise_count(self.codes[i + last] ^ codes[j + last])
-        twice, size = two_by_two(codes), overlap // 2
-        for x, y in cuts(size, AT_ONCE):
-            ends = np.cumsum(size[x:y])
-            place = np.arange(int(ends[-1])) * 2
-            before = 2 * (ends - size[x:y])
-            mine = place + np.repeat(i[x:y] - before, size[x:y])
-            place += np.repeat(j[x:y] - before, size[x:y])
-            wrong[x:y] += np.add.reduceat(np.bitwise_count(self.twice[mine] ^ twice[place]), ends - size[x:y], dtype=np.int64)
-        error = wrong / (32.0 * overlap)
-        good = np.nonzero(error <= max_error)[0]
-        order = good[np.lexsort((offset[good], np.abs(offset[good]), error[good], query[good]))]
+        good, error = close(self.codes, stretches(codes), i, j, overlap, max_error)
+        query, offset, overlap = query[good], offset[good], overlap[good]
+        order = np.lexsort((offset, np.abs(offset), error, query))
         best = order[np.concatenate([[True], query[order][1:] != query[order][:-1]])] if len(order) else order
         return query[best], offset[best], overlap[best], error[best]
 

@@ -115,6 +115,50 @@ def test_recall_against_brute_force(spark):
     assert len(want) > 120 and set(got) <= set(want) and len(found) >= 0.9 * len(want)
 
 
+def plain_matches(asked, codes, max_error, least_overlap):
+    """The best of all offsets at which either half of two integers agrees."""
+    out = {}
+    for q, a in enumerate(asked):
+        best = []
+        for offset in range(1 - len(a), len(codes)):
+            x, y = a[max(0, -offset) :], codes[max(0, offset) :]
+            wrong = x[: min(len(x), len(y))] ^ y[: min(len(x), len(y))]
+            error = int(np.bitwise_count(wrong).sum()) / (32.0 * len(wrong))
+            if len(wrong) >= least_overlap and error <= max_error and ((wrong & 0xFFFF == 0) | (wrong >> 16 == 0)).any():
+                best.append((error, abs(offset), offset, len(wrong)))
+        if best:
+            error, _, offset, overlap = min(best)
+            out[q] = (offset, overlap, error)
+    return out
+
+
+def test_alignments_are_let_go_early_and_none_is_lost(monkeypatch):
+    rng = np.random.default_rng(9)
+    source = rng.integers(0, 1 << 32, 400, dtype=np.uint32)
+    asked = []
+    for size in (1, 2, 15, 16, 17, 31, 32, 33, 90, 150):
+        cut = source[int(rng.integers(0, 200)) :][:size]
+        asked.append(cut ^ (1 << rng.integers(0, 16, size)).astype(np.uint32))
+        asked.append(np.repeat(rng.integers(0, 1 << 32, 10, dtype=np.uint32), -(-size // 10))[:size])  # runs
+    same = (rng.integers(0, 1 << 16, 300) << 16 | 7).astype(np.uint32)  # every offset gets a vote
+    asked += [same[50:170], same[::2]]
+    block = audio.Block(np.array([len(a) for a in asked]), np.concatenate(asked))
+    counted = []
+    count = np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: counted.append(x.nbytes) or count(x))
+    for codes in (source, same, source[:1], source[3:20]):
+        for max_error, least in ((0.25, 12), (0.25, 1), (0.1, 5), (0.0, 1), (1.0, 1)):
+            q, offset, overlap, error = block.matches(codes, max_error, least)
+            got = dict(zip(q.tolist(), zip(offset.tolist(), overlap.tolist(), error.tolist())))
+            assert got == plain_matches(asked, codes, max_error, least)
+    counted.clear()
+    block.matches(same, 0.1, 12)
+    voted, offset = block.voted(same)
+    first = np.maximum(0, -offset)
+    overlap = np.minimum(block.sizes[voted] - first, len(same) - offset - first)
+    assert sum(counted) < 0.6 * 4 * int(overlap[overlap >= 12].sum())
+
+
 def test_every_value_and_sign_reaches_the_fingerprint():
     rng = np.random.default_rng(4)
     v = rng.normal(scale=0.2, size=64)
