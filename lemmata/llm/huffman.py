@@ -21,6 +21,7 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+import string
 import unicodedata
 import zlib
 
@@ -30,9 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import ODD_SPLIT
-from .common import Layered, Memo, fresh_path, in_arrow, is_id, remove, text_slices, with_row
+from .common import Memo, fresh_path, in_arrow, is_id, remove, text_slices, with_row
 from .tokens import load
 
+#: Bytes of texts whose different pieces are looked up at once.
+SLICE = 4_000_000
 #: Longest code, and so the width of the decoding table.
 MAX_BITS = 18
 #: Tokens between two checkpoints of a document.
@@ -153,14 +156,14 @@ def decode_block(payload: bytes, counts: np.ndarray, marks: np.ndarray, table) -
     return out
 
 
-#: Characters that are pre-tokens of their own behind a letter or digit; behind any other character they join its pre-token.
-MARKS = ",.;:!?"
+#: Characters a run of which is a pre-token of its own behind a letter or digit; behind any other character they join its pre-token.
+MARKS = string.punctuation
 
 
 def ends_apart(chunk: str) -> bool:
-    """Whether a mark behind ``chunk`` is a pre-token of its own: the chunk, as normalized, ends in a letter or digit."""
+    """Whether marks behind ``chunk`` are a pre-token of their own: the chunk, as normalized, ends in a letter or digit."""
     last = chunk[-1:]
-    if last and not last.isascii():  # some letters end in a combining mark once normalized
+    if last > "\xff":  # some letters end in a combining mark once normalized, none of Latin-1
         last = unicodedata.normalize("NFC", chunk).lower()[-1]
     return last.isalnum()
 
@@ -169,47 +172,77 @@ class LibraryCoder:
     """Ids of whole texts by the tokenizers library, with a memo of white-space separated chunks in front."""
 
     def __init__(self, path: str, end_id: int):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+
         self.tok = load(path)
-        self.end_id = end_id
         self.memo = Memo(self._chunks, 900_000)
         vocabulary = self.tok.get_vocab(with_added_tokens=True)
         self.kind = "<u2" if max(*vocabulary.values(), end_id) < 1 << 16 else "<u4"
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.marks = dict(zip(MARKS, self._whole(list(MARKS))))
+        # one model behind leaner steps: words of lower-case letters of Latin-1 stay as they are, and whole
+        self.latin, self.ascii = Tokenizer(self.tok.model), Tokenizer(self.tok.model)
+        self.latin.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ascii.pre_tokenizer = WhitespaceSplit()
+        # specials and the end id are pieces that begin with a space, as no other does
         special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
-        self.special = {t: np.array([i], self.kind).tobytes() for t, i in special.items()}
+        self.fixed = {" " + t: np.array([i], self.kind).tobytes() for t, i in (special | {"": end_id}).items()}
         self.pattern = re.compile("|".join(map(re.escape, special)) or "(?!)")
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Words are encoded many to a text, and told apart by the ids that end one; a mark behind a letter or digit is looked up."""
-        words, odd = set(), []
-        seen, ends = self.memo.known, MARKS
+        """Words are encoded many to a text, and told apart by the ids that end one; marks behind a letter or digit are looked up."""
+        ascii_, latin, words, odd = set(), set(), set(), set()
+        cut, heads, ends, kept = [], [], [], []
+        seen = self.memo.known
         for c in chunks:
-            w = c[:-1] if c[-1] in ends and ends_apart(c[:-1]) else c
-            if w in seen:
-                continue
-            if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w)):
-                words.add(w)
+            if not c.isalpha():
+                w = c.rstrip(MARKS)
+                if len(w) == len(c) or not ends_apart(w):
+                    odd.add(c)
+                    continue
+                tail, ids = c[len(w) :], seen.get(w)
+                cut.append(c)
+                heads.append(w)
+                ends.append(tail)
+                kept.append(ids)
+                odd.add(tail)
+                if ids is not None:
+                    continue
+                if not w.isalpha():
+                    odd.add(w)
+                    continue
+                c = w
+            if c.isascii():
+                (ascii_ if c.islower() else words).add(c)
+            elif max(c) < "\u0100":
+                (latin if c.islower() else words).add(c)
             else:
-                odd.append(c)
-        seen.update(self._words(list(words)))  # a word is kept for the marks that will come behind it
-        known, marks = dict(zip(odd, self._whole(odd))), self.marks
-        return [known[c] if c in known else seen[c] if c in seen else seen[c[:-1]] + marks[c[-1]] for c in chunks]
-
-    def _words(self, words: list[str]) -> dict[str, bytes]:
+                (words if unicodedata.is_normalized("NFC", c) else odd).add(c)
+        made = self._words(list(ascii_), self.ascii) | self._words(list(latin), self.latin) | self._words(list(words), self.tok)
+        rest = list(odd)
+        made.update(zip(rest, self._whole(rest)))
+        for c, w, tail, ids in zip(cut, heads, ends, kept):
+            if ids is None:
+                ids = made[w]
+                if len(w) <= 64:
+                    seen[w] = ids  # kept for other marks that will come behind it
+            made[c] = ids + made[tail]
+        return list(map(made.__getitem__, chunks))
+
+    def _words(self, words: list[str], tok) -> dict[str, bytes]:
         texts = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
         out: dict[str, bytes] = {}
         for at in range(0, len(texts), 40):
             own = words[at * 500 : (at + 40) * 500]
-            lists = [e.ids for e in self.tok.encode_batch_fast(texts[at : at + 40], add_special_tokens=False)]
+            lists = [e.ids for e in tok.encode_batch_fast(texts[at : at + 40], add_special_tokens=False)]
             flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
             ends = np.nonzero(self.ends[flat])[0] + 1
             if len(ends) != len(own):  # a word that is more than one pre-token: take each by itself
                 out.update(zip(own, self._whole(own)))
                 continue
             raw, cuts = flat.astype(self.kind).tobytes(), (np.dtype(self.kind).itemsize * ends).tolist()
-            out.update((w, raw[i:j]) for w, i, j in zip(own, [0, *cuts], cuts))
+            out.update(zip(own, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
         return out
 
     def _whole(self, chunks: list[str]) -> list[bytes]:
@@ -221,30 +254,41 @@ class LibraryCoder:
     def _plain(self, text: str) -> list[str]:
         try:  # no character of Latin-1 changes under NFC, before or after it is put in lower case
             text.encode("latin-1")
-            text = text.lower()
+            if "<|" not in text:  # a special in capitals is none, and must not become one
+                text = text.lower()
         except UnicodeEncodeError:
             pass
         return ODD_SPLIT.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
-    def _pieces(self, text: str) -> list:
+    def _pieces(self, text: str) -> list[str]:
         if "<|" not in text or not self.pattern.search(text):
-            return self._plain(text)
+            return [*self._plain(text), " "]
         out, at = [], 0
         for m in self.pattern.finditer(text):
-            out += [*self._plain(text[at : m.start()]), (m[0],)]
+            out += [*self._plain(text[at : m.start()]), " " + m[0]]
             at = m.end()
-        return out + self._plain(text[at:])
+        return [*out, *self._plain(text[at:]), " "]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as little-endian integers of ``kind``."""
+        if not texts:
+            return []
         pieces = [self._pieces(t) for t in texts]
-        unique = set().union(*pieces)
-        marks = {(t,) for t in self.special} & unique
-        table = self.memo.table(unique - marks if marks else unique)
-        if marks:
-            table = Layered(table, {p: self.special[p[0]] for p in marks})
-        end = np.array([self.end_id], self.kind).tobytes()
-        return [b"".join([*map(table.__getitem__, p), end]) for p in pieces]
+        ends = np.cumsum([0, *map(len, pieces)])
+        coded = pa.array(list(itertools.chain.from_iterable(pieces)), pa.large_string()).dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.memo.known.get, names))
+        at = [k for k, v in enumerate(ids) if v is None]
+        fixed = [k for k in at if names[k][0] == " "]
+        for k in fixed:
+            ids[k] = self.fixed[names[k]]
+        if len(at) > len(fixed):
+            at = [k for k in at if ids[k] is None]
+            for k, v in zip(at, self.memo.add([names[k] for k in at])):
+                ids[k] = v
+        _, offsets, data = pa.array(ids, pa.large_binary()).take(coded.indices).buffers()
+        data, cuts = memoryview(data), np.frombuffer(offsets, np.int64)[ends].tolist()
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 @functools.lru_cache(2)
@@ -261,7 +305,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 1, id_col:
 
     def to_ids(batches):
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1), 2_000_000):
+            for a, b, texts in text_slices(batch.column(1), SLICE):
                 ids = library_coder(path, end_id).encode(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], names=["id", "ids"])
 

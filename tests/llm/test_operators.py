@@ -103,6 +103,31 @@ def test_marks_join_a_pre_token_of_marks(word_tok):
         assert got == word_tok.encode(text, add_special_tokens=False).ids + [1]
 
 
+def test_ids_of_odd_pieces_are_the_library_s(word_tok):
+    """Words, marks, specials and white space of many kinds, in texts that share pieces and with a small memo."""
+    rng = random.Random(11)
+    parts = ["word", "Word", "stra\u00dfe", "\u00c9t\u00e9", "\u0130", "e\u0301", "\ufb1d", "\u03a3\u03a3", "x\u00b2", "\u00aa", "\u00b5", "7", "42", "\u4e2d\u6587", "it's", "y" * 70, "\0", "\u0338"]
+    parts += [",", "?!", "$$$", "'", "'s", "(", ")", "<", "<|", "|>", "<|endoftext|>", "<|ENDOFTEXT|>", "\u2026", "\u0301"]
+    parts += [" ", "  ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u2028", " ", " "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(1500)]
+    coder = huffman.LibraryCoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+    coder.memo.limit = 900
+    for at in range(0, len(texts), 100):
+        for t, got in zip(texts[at : at + 100], coder.encode(texts[at : at + 100])):
+            assert np.frombuffer(got, coder.kind).tolist() == word_tok.encode(t, add_special_tokens=False).ids + [1], t
+
+
+def test_marks_cost_no_call_for_each_word(word_tok):
+    """A run of marks behind a word is encoded once, not with every word, and a word by the lean tokenizers."""
+    coder = huffman.LibraryCoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+    calls, whole = [], coder._whole
+    coder._whole = lambda chunks: calls.extend(chunks) or whole(chunks)
+    names = ["".join(random.Random(k).choices("abcdefgh\u00e9", k=9)) for k in range(300)]
+    text = " ".join(n + m for n in names for m in ("", "$$$", "?!", ".%%%"))
+    assert np.frombuffer(coder.encode([text])[0], coder.kind).tolist() == word_tok.encode(text, add_special_tokens=False).ids + [1]
+    assert sorted(calls) == ["$$$", ".%%%", "?!"]
+
+
 def test_code_lengths_are_limited_and_complete():
     counts = np.array([2**k for k in range(30)] + [0, 5])
     lengths = huffman.code_lengths(counts, 8)
