@@ -139,9 +139,13 @@ def _(v):
 
 
 def crops(v):
-    shade = lambda r, c: F.when(((r > 4) & (r < 14) | (r > 30) & (r < 42)) & (c > 3) & (c < 40 + C("p_size")), 0).otherwise(255)
-    line = lambda r: F.transform(F.sequence(F.lit(0), F.lit(99)), lambda c: shade(r, c))
-    return v.part.select("p_partkey", F.transform(F.sequence(F.lit(0), F.lit(30) + C("p_size")), line).alias("gray"), (60 + C("p_size") * 3).alias("dpi"))
+    # a crop is a thousand times its row of `part`: rows are dealt out before they are drawn
+    cores = v.spark.sparkContext.defaultParallelism
+    dealt = v.part.select("p_partkey", "p_size").repartition(max(4 * cores, int(v.spark.conf.get("spark.sql.shuffle.partitions"))), "p_partkey")
+    dark, light = (lambda n: F.array_repeat(F.lit(0), n)), (lambda n: F.array_repeat(F.lit(255), n))
+    white, inked = light(F.lit(100)), F.slice(F.concat(light(F.lit(4)), dark(F.lit(36) + C("p_size")), light(F.lit(100))), 1, 100)
+    lines = F.concat(*[F.array_repeat(x, n) for x, n in ((white, 5), (inked, 9), (white, 17), (inked, 11))], F.array_repeat(white, C("p_size")))
+    return dealt.select("p_partkey", F.slice(lines, F.lit(1), F.greatest(F.lit(31) + C("p_size"), F.lit(0))).alias("gray"), (60 + C("p_size") * 3).alias("dpi"))
 
 
 @query(

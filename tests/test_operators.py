@@ -232,3 +232,37 @@ def test_repair_needs_a_second_verdict(spark):
     assert [(r["latex"], r["confidence"], r["provider"]) for r in yes] == [("y", 0.99, "judge_repair")] + [("x", 0.4, "p")] * 4
     no = review.repaired(t, lambda fix: (F.lit(False), F.lit(0.9), F.lit("j"))).collect()
     assert not any(r["repaired"] for r in no)
+
+
+def test_crops_of_all_shapes_are_measured_each_as_itself(spark):
+    import numpy as np
+    from lemmata.operators import pixels
+
+    made = np.random.default_rng(5)
+    drawn = [made.integers(0, 256, (h, w)) for h, w in ((34, 60), (2, 9), (34, 60), (50, 1), (40, 100))]
+    drawn[0][:] = 255
+    stacked = np.full((100, 200), 255)
+    stacked[8:30, 20:175] = stacked[68:92, 25:170] = 0
+    drawn += [stacked, stacked.T, np.zeros((0, 0), int), None]
+    dpi = [300.0, 60.0, 100.0, None, 149.0, 200.0, 72.0, 90.0, 90.0]
+    rows = [(i, None if g is None else g.tolist(), x) for i, (g, x) in enumerate(zip(drawn, dpi))]
+    t = spark.createDataFrame(rows, "id int, gray array<array<int>>, dpi double")
+    got = {r["id"]: r for r in pixels.crop_quality(t.coalesce(1)).collect()}
+    for i, g in enumerate(drawn):
+        g = np.zeros((0, 0)) if g is None else g.astype(float)
+        want = pixels.metrics(g) | {"layout": pixels.layout_confidence(g, dpi[i]), "n_parts": len(pixels.split_stacked(g)) if g.size else 0}
+        assert {k: got[i][k] for k in want} == {k: x if x is None else pytest.approx(x) for k, x in want.items()}
+    assert got[5]["n_parts"] == 2 and got[7]["layout"] is None
+
+
+def test_crops_of_one_file_are_drawn_in_many_tasks(spark):
+    from lemmata.plans import content
+    from lemmata.sources.views import Views
+
+    crops = content.crops(Views(spark, SF))
+    assert crops.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    size = {r["p_partkey"]: r["p_size"] for r in Views(spark, SF).part.collect()}
+    for r in crops.limit(20).collect():
+        n = size[r["p_partkey"]]
+        ink = lambda y, x: (4 < y < 14 or 30 < y < 42) and 3 < x < 40 + n
+        assert r["gray"] == [[0 if ink(y, x) else 255 for x in range(100)] for y in range(31 + n)]
