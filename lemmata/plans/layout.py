@@ -165,7 +165,7 @@ def _(v):
     SELECT doc_id, page_no, CAST(island AS BIGINT) AS island, kind, count(*) AS n, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM g GROUP BY ALL""",
 )
 def _(v):
-    return D.islands(v.v_box, G.PAGE, "box_seq", "kind").groupBy(*G.PAGE, "island", "kind").agg(
+    return D.islands(v.dealt("v_box"), G.PAGE, "box_seq", "kind").groupBy(*G.PAGE, "island", "kind").agg(
         F.count("*").alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
     )
 

@@ -7,6 +7,7 @@ rows: `@` stands for a backslash, which string literals of the engines treat apa
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -79,6 +80,10 @@ SELECT p.p_partkey AS doc_id, concat('  ', p.p_name, '   Vol. ', CAST(p.p_size A
 #: Tables behind each view.
 _BEHIND = {k: [t for t in TABLES if "{" + t + "}" in v] for k, v in SQL.items()}
 
+#: What the rows of a view over `lineitem` are numbered by, and the rows of `lineitem` in a partition of a view dealt out.
+_NUMBERED_BY = {"v_equation": [_DOC], "v_box": [_DOC, "l_linenumber"]}
+PART_ROWS = 250_000
+
 
 def view_sql(name: str, table=lambda t: t) -> str:
     text = SQL[name]
@@ -105,7 +110,16 @@ class Views:
             return self.table(name)
         if name not in SQL:
             raise AttributeError(name)
-        behind = {f"t_{t}": self.table(t) for t in _BEHIND[name]}
+        return self._view(name, {t: self.table(t) for t in _BEHIND[name]})
+
+    def dealt(self, name: str) -> DataFrame:
+        """The view over `lineitem` dealt out by what its rows are numbered by, about PART_ROWS to a task however large the table."""
+        lines = self.lineitem
+        n = max(self.spark.sparkContext.defaultParallelism, -(-lines.count() // PART_ROWS))
+        return self._view(name, {"lineitem": lines.repartition(n, *map(F.expr, _NUMBERED_BY[name]))})
+
+    def _view(self, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+        behind = {f"t_{t}": df for t, df in tables.items()}
         # braces of LaTeX must pass the formatter that binds the tables
         text = view_sql(name, lambda t: f"\x03t_{t}\x04").replace("{", "{{").replace("}", "}}").replace("\x03", "{").replace("\x04", "}")
         return self.spark.sql(text, **behind)

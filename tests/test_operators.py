@@ -266,3 +266,26 @@ def test_crops_of_one_file_are_drawn_in_many_tasks(spark):
         n = size[r["p_partkey"]]
         ink = lambda y, x: (4 < y < 14 or 30 < y < 42) and 3 < x < 40 + n
         assert r["gray"] == [[0 if ink(y, x) else 255 for x in range(100)] for y in range(31 + n)]
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("view", ["v_box", "v_equation"])
+def test_dealt_views_have_tasks_by_their_rows(spark, monkeypatch, view):
+    from lemmata.sources import views
+
+    monkeypatch.setattr(views, "PART_ROWS", 500)
+    v = views.Views(spark, SF)
+    dealt = v.dealt(view)
+    assert shuffles(dealt) == 1 and dealt.rdd.getNumPartitions() == -(-v.lineitem.count() // 500)
+    assert dealt.exceptAll(getattr(v, view)).count() == 0 and dealt.count() == v.lineitem.count()
+
+
+def test_span_islands_take_one_shuffle_of_many_parts(spark, monkeypatch):
+    from lemmata.sources import views
+
+    monkeypatch.setattr(views, "PART_ROWS", 500)
+    df = plans.QUERIES["span_islands"](spark, SF)
+    assert shuffles(df) == 1 and df.rdd.getNumPartitions() >= 12
