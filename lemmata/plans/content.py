@@ -134,8 +134,8 @@ def _(v):
     i AS (SELECT *, row - row_number() OVER (PARTITION BY doc_id, page_no ORDER BY row) AS k FROM s) SELECT doc_id, page_no, min(row) AS first, max(row) AS last, sum(ink) AS ink FROM i GROUP BY doc_id, page_no, k""",
 )
 def _(v):
-    rows = v.v_box.select("doc_id", "page_no", F.explode(F.sequence(C("y0").cast("long"), C("y1").cast("long") - 1)).alias("row"), (C("x1") - C("x0")).alias("w"))
-    return P.ink_bands(rows.groupBy("doc_id", "page_no", "row").agg(F.sum("w").alias("ink")), ["doc_id", "page_no"], 60.0)
+    boxes = v.dealt("v_box").select("doc_id", "page_no", C("y0").cast("long").alias("start"), C("y1").cast("long").alias("end"), (C("x1") - C("x0")).alias("w"))
+    return P.ink_bands(boxes, ["doc_id", "page_no"], 60.0)
 
 
 def crops(v):

@@ -289,3 +289,18 @@ def test_span_islands_take_one_shuffle_of_many_parts(spark, monkeypatch):
     monkeypatch.setattr(views, "PART_ROWS", 500)
     df = plans.QUERIES["span_islands"](spark, SF)
     assert shuffles(df) == 1 and df.rdd.getNumPartitions() >= 12
+
+
+def test_ink_bands_of_tall_boxes(spark):
+    from lemmata.operators import pixels
+
+    # tall boxes, boxes that touch, fractions that cancel out, and boxes without rows
+    rows = [(1, 0, 2_000_000_000, 40.0), (1, 5, 10, 30.0), (1, 10, 12, 20.5), (1, 12, 20, 10.0), (1, 30, 31, 20.0), (1, 50, 51, 21.0), (1, 60, 60, 99.0), (1, 70, 60, 99.0)]
+    rows += [(2, 0, 3, 0.1), (2, 0, 1, 0.2), (2, 0, 3, 59.9), (3, 0, 4, 61.0), (3, 2, 3, None), (3, None, 9, 70.0), (4, 3, 5, 61.0), (4, 5, 7, 62.0), (4, 8, 9, 70.0)]
+    boxes = spark.createDataFrame(rows, "page int, start long, end long, w double")
+    got = sorted((r["page"], r["first"], r["last"], round(r["ink"], 6)) for r in pixels.ink_bands(boxes, ["page"], 60.0).collect())
+    assert got == [(1, 5, 11, 471.0), (1, 50, 50, 61.0), (2, 0, 0, 60.2), (3, 0, 3, 244.0), (4, 3, 6, 246.0), (4, 8, 8, 70.0)]
+
+
+def test_ink_bands_shuffle_boxes_once(spark):
+    assert shuffles(plans.QUERIES["ink_bands"](spark, SF)) == 1
