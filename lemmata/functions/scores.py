@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -57,14 +58,17 @@ def n_of(x: Column, pattern: str) -> Column:
     return F.regexp_count(x, F.lit(pattern))
 
 
+def bound(make: Callable[[Column], Column], **values: Column) -> Column:
+    """``make`` of a struct of ``values``, each of which is worked out once however often ``make`` names it."""
+    return F.get(F.transform(F.array(F.struct(*[c.alias(k) for k, c in values.items()])), make), F.lit(0))
+
+
 def fraction_layout(text: Column) -> Column:
+    def short(lines: Column) -> Column:
+        return F.size(lines).between(2, 4) & ~F.exists(lines, lambda x: F.length(x) > 80) & ~text.rlike(VERB) & ~F.get(lines, F.lit(0)).rlike(r"^\d[\d\.]*\.?$")
+
     lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    return (
-        F.size(lines).between(2, 4)
-        & ~F.exists(lines, lambda x: F.length(x) > 80)
-        & ~text.rlike(VERB)
-        & ~F.get(lines, F.lit(0)).rlike(r"^\d[\d\.]*\.?$")
-    )
+    return text.contains("\n") & bound(lambda x: short(x["lines"]), lines=lines)
 
 
 def formula_score(text: Column, typed: Column | None = None, distance: Column | None = None, width_ratio: Column | None = None, offset: Column | None = None) -> Column:
@@ -72,38 +76,44 @@ def formula_score(text: Column, typed: Column | None = None, distance: Column |
 
     ``distance`` in points to the label, ``width_ratio`` to the page, ``offset`` of the centre; nulls are unknown.
     """
-    t = F.trim(text)
-    stoich, chars, cid = n_of(t, STOICH_RUN), n_of(t, MATH_CHARS), n_of(t, r"\(cid:\d+\)")
-    maths = [
-        case(t.rlike(ARROW), 0.40),
-        F.when(stoich >= 3, 0.25).when(stoich >= 2, 0.15).otherwise(0.0),
-        case(t.rlike(RELATIONAL), 0.40),
-        F.when(chars >= 6, 0.30).when(chars >= 3, 0.20).when(chars >= 1, 0.10).otherwise(0.0),
-        F.when(cid >= 3, 0.25).when(cid >= 1, 0.12).otherwise(0.0),
-        case(t.rlike(INLINE), 0.20),
-    ]
-    math_sum = reduce(add, maths)
-    layout = case(fraction_layout(t), 0.28)
-    positive = math_sum + layout + case(F.length(t) < 80, 0.08)
-    d = F.lit(None).cast("double") if distance is None else distance
-    positive = positive + F.when(d < 30, 0.30).when(d < 80, 0.15).otherwise(0.0)
-    w = F.lit(None).cast("double") if width_ratio is None else width_ratio
-    o = F.lit(None).cast("double") if offset is None else offset
-    positive = positive + case(w < 0.55, 0.15) + case(o < 0.20, 0.10)
-    prose = n_of(t, PROSE)
-    total = positive - case(w > 0.88, 0.20) - F.when(prose >= 5, 0.50).when((prose >= 3) & (math_sum == 0), 0.25).otherwise(0.0)
-    clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), total))
-    none = (math_sum == 0) & (layout == 0)
-    out = F.when(
-        (F.length(t) <= 1) | (F.length(t) > 250), F.struct(F.lit(0.0).alias("score"), F.lit(False).alias("is_formula"), F.lit(False).alias("needs_review"))
-    ).when(
-        none, F.struct(clamped.alias("score"), F.lit(False).alias("is_formula"), F.coalesce((d < 30) & (positive >= 0.25), F.lit(False)).alias("needs_review"))
-    ).otherwise(
-        F.struct(clamped.alias("score"), (clamped >= 0.45).alias("is_formula"), ((clamped >= 0.25) & (clamped < 0.45)).alias("needs_review"))
-    )
+    of = lambda score, formula, review: F.struct(score.alias("score"), formula.alias("is_formula"), review.alias("needs_review"))
+    no = F.lit(False)
+    d, w, o = (F.lit(None).cast("double") if x is None else x for x in (distance, width_ratio, offset))
+
+    def signs(t: Column) -> dict[str, Column]:
+        steps = lambda n, *least: bound(lambda x: reduce(lambda c, k: c.when(x["n"] >= k[0], k[1]), least, F).otherwise(0.0), n=n)
+        maths = [
+            case(t.rlike(ARROW), 0.40),
+            steps(n_of(t, STOICH_RUN), (3, 0.25), (2, 0.15)),
+            case(t.rlike(RELATIONAL), 0.40),
+            steps(n_of(t, MATH_CHARS), (6, 0.30), (3, 0.20), (1, 0.10)),
+            F.when(t.contains("(cid:"), steps(n_of(t, r"\(cid:\d+\)"), (3, 0.25), (1, 0.12))).otherwise(0.0),
+            case(t.rlike(INLINE), 0.20),
+        ]
+        return {"maths": reduce(add, maths), "layout": case(fraction_layout(t), 0.28), "short": F.length(t) < 80, "prose": n_of(t, PROSE), "d": d, "w": w, "o": o}
+
+    def added(x: Column) -> Column:
+        positive = x["maths"] + x["layout"] + case(x["short"], 0.08)
+        positive = positive + F.when(x["d"] < 30, 0.30).when(x["d"] < 80, 0.15).otherwise(0.0)
+        return positive + case(x["w"] < 0.55, 0.15) + case(x["o"] < 0.20, 0.10)
+
+    def judged(x: Column, y: Column) -> Column:
+        none = (x["maths"] == 0) & (x["layout"] == 0)
+        c = y["clamped"]
+        return F.when(none, of(c, no, F.coalesce((x["d"] < 30) & (y["positive"] >= 0.25), no))).otherwise(of(c, c >= 0.45, (c >= 0.25) & (c < 0.45)))
+
+    def scored(x: Column) -> Column:
+        lost = F.when(x["prose"] >= 5, 0.50).when((x["prose"] >= 3) & (x["maths"] == 0), 0.25).otherwise(0.0)
+        clamped = lambda positive: F.greatest(F.lit(0.0), F.least(F.lit(1.0), positive - case(x["w"] > 0.88, 0.20) - lost))
+        return bound(lambda y: bound(lambda z: judged(x, z), positive=y["positive"], clamped=clamped(y["positive"])), positive=added(x))
+
+    def out(t: Column) -> Column:
+        return F.when((F.length(t) <= 1) | (F.length(t) > 250), of(F.lit(0.0), no, no)).otherwise(bound(scored, **signs(t)))
+
+    got = bound(lambda x: out(x["t"]), t=F.trim(text))
     if typed is None:
-        return out
-    return F.when(typed.isin("equation", "formula"), F.struct(F.lit(1.0).alias("score"), F.lit(True).alias("is_formula"), F.lit(False).alias("needs_review"))).otherwise(out)
+        return got
+    return F.when(typed.isin("equation", "formula"), of(F.lit(1.0), F.lit(True), no)).otherwise(got)
 
 
 def category(text: Column, context: Column, region_type: Column, is_inline: Column) -> Column:

@@ -341,9 +341,9 @@ def _(v):
 
 @query("formula_score")
 def _(v):
-    t = v.v_equation.withColumn("distance", (C("seq") % 120).cast("double"))
-    got = S.formula_score(C("plain_text"), None, C("distance"))
-    return t.select(*KEY, F.round(got["score"], 6).alias("score"), got["is_formula"].alias("is_formula"), got["needs_review"].alias("needs_review"))
+    t = v.dealt("v_equation").withColumn("distance", (C("seq") % 120).cast("double"))
+    t = t.select(*KEY, S.formula_score(C("plain_text"), None, C("distance")).alias("got"))
+    return t.select(*KEY, F.round("got.score", 6).alias("score"), "got.is_formula", "got.needs_review")
 
 
 def parts():

@@ -144,3 +144,15 @@ def test_stage_plan():
         return 7
 
     assert G.retrying(flaky, sleep=lambda s: None)() == 7
+
+
+def test_formula_score_looks_for_each_pattern_once(spark):
+    score = lambda *c: S.formula_score(F.col("t"), F.col("k"), F.col("d"), F.col("w"), F.col("o"))
+    rows = [("x = 1\n \n3.2", "text", 10.0, 0.3, 0.1), (None, "text", 10.0, 0.3, 0.1), ("x", "text", 10.0, 0.3, 0.1), ("the", "formula", None, None, None), ("(cid:1) (cid:2) (cid:3)", None, 40.0, None, None)]
+    got = spark.createDataFrame(rows, "t string, k string, d double, w double, o double").select(score().alias("x"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all(plan.count(p) == 1 for p in (S.ARROW, S.STOICH_RUN, S.INLINE, S.PROSE, S.VERB))
+    want = [(1.0, True, False), (0.55, False, True), (0.0, False, False), (1.0, True, False), None]
+    for r, w in zip(got.collect(), want):
+        assert w is None or (pytest.approx(r["x"]["score"]), *r["x"][1:]) == w
+    assert got.collect()[4]["x"]["score"] == pytest.approx(0.25 + 0.08 + 0.15)
