@@ -12,18 +12,26 @@ from pyspark.sql import functions as F
 from .latex import RELATION
 
 GREEK = "αβγδεζηθικλμνξοπρστυφχψωΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"
+
+
+def ascii_only(pattern: str) -> str:
+    """``pattern`` with escapes for other characters: inside lambdas, the engine decodes a pattern anew for every match."""
+    return "".join(c if c < "\x80" else f"\\u{ord(c):04x}" for c in pattern)
+
+
 # Fixed word lists and patterns.
 PROSE = (
     r"(?i)\b(?:the|a(?:n|nd)?|is|are|was|were|be|been|have|has|had|do|does|did|will|would|shall|should|may|might|must|can|could|"
     r"but|or|for|yet|so|because|since|although|while|where|when|which|this|these|those|by|in|on|at|to|of|with|from|into|between)\b"
 )
 VERB = r"(?i)\b(?:is|are|was|were|have|has|do|does|did|will|would|shall|should|may|might|must|can|could)\b"
-ARROW = r"[→⇌⇒⇄↔⟶]|--\+|(?<![<\-])->(?!-)"
+ARROW = ascii_only(r"[→⇌⇒⇄↔⟶]|--\+|(?<![<\-])->(?!-)")
 STOICH_RUN = r"(?<![A-Za-z0-9])\d{1,3}(?:\.\d{1,3})?[ \t]*[A-Z][a-z]?[A-Za-z0-9,]*"
-RELATIONAL = r"[=¼≈≠≤≥]"
-MATH_CHARS = f"[{GREEK}∑∫∂√∞±×÷≤≥≠≈→↔⇒⇄⇌⟶∇∆∈∉∩∪⊂⊃∀∃=+*^_|¼]"
-INLINE = (
-    f"[{GREEK}]|[∑∫∂√∞±×÷≤≥≠≈→↔⇒⇄⇌⟶∇∆∈∉∩∪⊂⊃∀∃]"
+RELATIONAL = ascii_only(r"[=¼≈≠≤≥]")
+MATH_CHARS = f"{GREEK}∑∫∂√∞±×÷≤≥≠≈→↔⇒⇄⇌⟶∇∆∈∉∩∪⊂⊃∀∃=+*^_|¼"
+# The lookahead spares ASCII, which nearly all characters are, a walk along the class.
+INLINE = ascii_only(
+    rf"(?![\x00-\x7f])[{GREEK}∑∫∂√∞±×÷≤≥≠≈→↔⇒⇄⇌⟶∇∆∈∉∩∪⊂⊃∀∃]"
     r"|[a-zA-Z0-9\)\]\.]\s*[=≈<>≤≥]\s*[a-zA-Z0-9\(\[\-]|[a-zA-Z]\s*_\s*[a-zA-Z0-9{]|[a-zA-Z]\s*\^\s*[a-zA-Z0-9{]"
     r"|[0-9]\s*[eE][+-]?[0-9]|[A-Z]\s*/\s*[A-Z]|\bΔ[A-Za-z]|\bδ[A-Za-z]|\b(?:sin|cos|tan|log|ln|exp|lim|max|min)\s*[\(\[]"
     r"|--\+|(?<![<\-])->(?!-)|(?<![A-Za-z])\d+\.?\d*\s*[A-Z][a-z]?[A-Za-z0-9,]+|[A-Z][a-z]?\d*[A-Z][a-z]?\d"
@@ -86,7 +94,7 @@ def formula_score(text: Column, typed: Column | None = None, distance: Column |
             case(t.rlike(ARROW), 0.40),
             steps(n_of(t, STOICH_RUN), (3, 0.25), (2, 0.15)),
             case(t.rlike(RELATIONAL), 0.40),
-            steps(n_of(t, MATH_CHARS), (6, 0.30), (3, 0.20), (1, 0.10)),
+            steps(F.length(t) - F.length(F.translate(t, MATH_CHARS, "")), (6, 0.30), (3, 0.20), (1, 0.10)),
             F.when(t.contains("(cid:"), steps(n_of(t, r"\(cid:\d+\)"), (3, 0.25), (1, 0.12))).otherwise(0.0),
             case(t.rlike(INLINE), 0.20),
         ]

@@ -83,9 +83,7 @@ def inline_spans(df: DataFrame, text: str, maths: str, prose: str) -> DataFrame:
     """Spans of words that hold mathematics, joined over single words between them that are no prose: gaps and islands of words."""
     words = df.withColumn("__w", F.filter(F.split(text, r"\s+"), lambda w: w != ""))
     marked = words.withColumn("__m", F.transform("__w", lambda w: w.rlike(maths)))
-    kept = F.transform(
-        "__m",
-        lambda m, i: m | (F.coalesce(F.get("__m", i - 1), F.lit(False)) & F.coalesce(F.get("__m", i + 1), F.lit(False)) & ~F.get("__w", i).rlike(prose)),
-    )
-    runs = F.split(F.array_join(F.transform(F.arrays_zip(F.col("__w").alias("w"), kept.alias("k")), lambda x: F.when(x["k"], x["w"]).otherwise("\x1f")), " "), r"\s*\x1f\s*")
+    at = lambda i: F.coalesce(F.get("__m", i), F.lit(False))
+    kept = F.transform("__w", lambda w, i: F.when(at(i) | (at(i - 1) & at(i + 1) & ~w.rlike(prose)), w).otherwise("\x1f"))
+    runs = F.split(F.array_join(kept, " "), r"\s*\x1f\s*")
     return marked.select(*df.columns, F.posexplode(F.filter(runs, lambda r: F.trim(r) != "")).alias("span_no", "span")).withColumn("span", F.trim("span"))

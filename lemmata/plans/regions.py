@@ -153,5 +153,5 @@ def _(v):
 
 @query("inline_spans")
 def _(v):
-    t = v.v_equation.select(*KEY, F.concat_ws(" ", F.lit("we have"), "plain_text", F.lit("so that"), "latex").alias("text"))
+    t = v.dealt("v_equation").select(*KEY, F.concat_ws(" ", F.lit("we have"), "plain_text", F.lit("so that"), "latex").alias("text"))
     return A.inline_spans(t, "text", S.INLINE + r"|[=+^_\\]", S.PROSE).select(*KEY, "span_no", "span")

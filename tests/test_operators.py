@@ -304,3 +304,33 @@ def test_ink_bands_of_tall_boxes(spark):
 
 def test_ink_bands_shuffle_boxes_once(spark):
     assert shuffles(plans.QUERIES["ink_bands"](spark, SF)) == 1
+
+
+def test_inline_spans_of_words(spark):
+    from lemmata.functions import scores
+    from lemmata.operators import assembly
+
+    texts = ["we have x = 1 so that a_1 plus b^2 the c=d", "no maths here", "", None, "αx", "Δt →", "x\t=\n1"]
+    t = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    df = assembly.inline_spans(t, "text", scores.INLINE + r"|[=+^_\\]", scores.PROSE)
+    got = sorted((r["id"], r["span_no"], r["span"]) for r in df.collect())
+    # a word between two of mathematics joins them unless it is prose
+    assert got == [(0, 0, "="), (0, 1, "a_1 plus b^2"), (0, 2, "c=d"), (4, 0, "αx"), (5, 0, "Δt →"), (6, 0, "=")]
+
+
+def test_patterns_matched_in_lambdas_are_short_to_decode(spark):
+    from lemmata.functions import scores
+
+    assert all(p.isascii() for p in (scores.INLINE, scores.ARROW, scores.RELATIONAL))
+    signs = "αςωΑΩδ∑¼≈×→⟶∃é"
+    got = spark.createDataFrame([(c,) for c in signs], "c string").select("c", *[F.col("c").rlike(p) for p in (scores.INLINE, scores.ARROW, scores.RELATIONAL)]).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == {c: (c not in "ς¼é", c in "→⟶", c in "¼≈") for c in signs}
+
+
+def test_inline_spans_take_one_shuffle_of_many_parts(spark, monkeypatch):
+    from lemmata.sources import views
+
+    monkeypatch.setattr(views, "PART_ROWS", 500)
+    for name in ("inline_spans", "formula_score"):
+        df = plans.QUERIES[name](spark, SF)
+        assert shuffles(df) == 1 and df.rdd.getNumPartitions() == 12
