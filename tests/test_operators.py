@@ -334,3 +334,7 @@ def test_inline_spans_take_one_shuffle_of_many_parts(spark, monkeypatch):
     for name in ("inline_spans", "formula_score"):
         df = plans.QUERIES[name](spark, SF)
         assert shuffles(df) == 1 and df.rdd.getNumPartitions() == 12
+
+
+def test_crop_quality_runs_in_many_tasks(spark):
+    assert plans.QUERIES["crop_quality"](spark, SF).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
